@@ -54,7 +54,7 @@ def _orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     shipping = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
     )
-    bought = F.col("o_orderdate") + _hours("o_orderkey", 7)
+    bought = F.col("bought")
     delivered = F.when(
         F.col("o_orderstatus") == "F", F.col("last_ship") + _hours("o_orderkey", 5)
     )
@@ -65,18 +65,19 @@ def _orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", "shipped")
         .otherwise("processing")
     )
-    return orders.join(shipping, "o_orderkey", "left").select(
+    timed = orders.withColumn(
+        "bought", (F.col("o_orderdate") + _hours("o_orderkey", 7)).cast("string")
+    )
+    return timed.join(shipping, "o_orderkey", "left").select(
         F.col("o_orderkey").alias("order_id"),
         F.when(every("o_custkey", 50, 7), -F.col("o_custkey"))
         .otherwise(F.col("o_custkey"))
         .alias("customer_id"),
         status.alias("order_status"),
         F.when(every("o_orderkey", 499, 3), "unknown")
-        .otherwise(bought.cast("string"))
+        .otherwise(bought)
         .alias("order_purchase_timestamp"),
-        F.when(every("o_orderkey", 13), "").otherwise(bought.cast("string")).alias(
-            "order_approved_at"
-        ),
+        F.when(every("o_orderkey", 13), "").otherwise(bought).alias("order_approved_at"),
         F.col("first_ship").cast("string").alias("order_delivered_carrier_date"),
         delivered.cast("string").alias("order_delivered_customer_date"),
         F.when(every("o_orderkey", 101, 1), F.year("o_orderdate").cast("string"))
