@@ -79,7 +79,7 @@ def test_delivery(enriched):
 
 
 def test_hot_keys_do_not_change_rows(models, enriched):
-    for hot in (["o1", "o3"], []):
+    for hot in (["o1", "o3"], [], ["o2", None]):
         rows = build.enriched_orders(models, hot).collect()
         assert {row.order_id: row for row in rows} == enriched
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions import labels
 from tradeloom.functions.measures import distinct_list, percent_of_rows, round_double
-from tradeloom.functions.timestamps import in_years
+from tradeloom.functions.timestamps import in_years, year_month
 from tradeloom.operators.latest import latest_by
 from tradeloom.operators.lookup import hot_keys, lookup_join, measured_bytes
 from tradeloom.operators.ranking import share_of_total, to_long, top_k
@@ -54,6 +54,7 @@ def test_hot_keys(spark):
     assert hot_keys(df, "k", share=0.05) == [-1]
     assert hot_keys(spark.range(30_000), "id", share=0.05) == []
     assert hot_keys(spark.range(0), "id") == []
+    assert hot_keys(spark.sql("SELECT CAST(NULL AS STRING) AS k FROM range(9)"), "k") == []
 
 
 def test_top_k_ties_and_nulls(spark):
@@ -124,6 +125,20 @@ def test_other_labels(spark):
     assert tuple(row.first()) == ("1,234,567", "R$ 1,999", "R$ 12.50", "12.5 days", None)
 
 
+def test_months_do_not_depend_on_the_session_time_zone(spark):
+    times = spark.sql(
+        "SELECT explode(array(TIMESTAMP_NTZ '2017-10-15 00:30:00', "
+        "TIMESTAMP_NTZ '2018-11-30 23:59:59', NULL)) AS t"
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        months = [row[0] for row in times.select(year_month(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert months == ["2017-10", "2018-11", None]
+
+
 def test_in_years_equals_year_and_reaches_the_scan(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     ours = orders.filter(in_years(F.col("o_orderdate"), [1996, 1999]))

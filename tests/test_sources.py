@@ -95,6 +95,14 @@ def test_column_order_and_extra_columns(spark, tmp_path):
     assert (row.order_id, row.price, row.note) == ("o1", Decimal("4.25"), "hello")
 
 
+def test_parts_must_agree_on_their_columns(spark, tmp_path):
+    path = write(tmp_path / "a", GOOD)
+    other = ",".join(reversed(ITEMS.columns))
+    (tmp_path / "a" / "part-1.csv").write_text(other + "\n0.1,1.5,,s1,x1,1,o9\n")
+    with pytest.raises(Exception, match="header"):
+        read_source(spark, ITEMS, path).collect()
+
+
 def test_money_type_and_inference(spark, tmp_path):
     path = write(tmp_path / "a", "o1,1,x1,s1,,499.996,0.1")
     assert read_source(spark, ITEMS, path, money="double").first().price == 499.996

@@ -26,7 +26,8 @@ def day_diff(start: Column, end: Column) -> Column:
 
 
 def year_month(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    """``yyyy-MM`` by text: formatting would go through the session time zone."""
+    return F.substring(F.to_date(ts).cast("string"), 1, 7)
 
 
 def in_years(ts: Column, years: list[int]) -> Column:

@@ -38,20 +38,44 @@ def lookup_join(
     return left.join(right, on, "left")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001, tracked: int = 100_000) -> list:
-    """Values of ``key`` that may hold more than ``share`` of the rows.
-
-    One scan of one column with a small sketch per task. The list only routes
-    rows, so an estimate is enough: results are the same whatever it holds.
-    It has at most ``1 / share`` values.
+def frequent_keys(
+    df: DataFrame, key: str, most: int, tracked: int = 4096
+) -> tuple[list[tuple], int]:
+    """Up to ``most`` frequent values of ``key`` with estimated counts, and the
+    row count.
+
+    One scan of one column. Each task keeps a sketch of ``tracked`` values;
+    sketches merge in lanes first, so that no task merges those of all others.
     """
-    k = int(1 / share)
-    found = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {k}, {max(tracked, k)})").alias("top"),
-        F.count("*").alias("rows"),
+    if df.select(key).isEmpty():
+        return [], 0
+    lanes = (
+        df.select(key, (F.spark_partition_id() % 64).alias("_lane"))
+        .groupBy("_lane")
+        .agg(
+            F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"),
+            F.count("*").alias("rows"),
+        )
+    )
+    merged = lanes.agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
+        F.sum("rows").alias("rows"),
+    )
+    found = merged.select(
+        F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top"), "rows"
     ).first()
-    least = max(2, share * found["rows"])
-    return [item["item"] for item in (found["top"] or []) if item["count"] >= least]
+    return [(item["item"], item["count"]) for item in found["top"]], found["rows"]
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.005) -> list:
+    """Values of ``key`` that may hold at least ``share`` of the rows.
+
+    At most ``1 / share`` values. The list only routes rows: results are the
+    same whatever it holds, so estimates will do.
+    """
+    found, rows = frequent_keys(df, key, int(1 / share))
+    least = max(2, share * rows)
+    return [value for value, count in found if value is not None and count >= least]
 
 
 def left_join_per_key(
@@ -68,8 +92,9 @@ def left_join_per_key(
     """
     if hot is None:
         return _join_all(left, rights, on)
-    is_hot = F.col(on).isNull() | F.col(on).isin(list(hot))
-    few = [F.broadcast(right.filter(F.col(on).isin(list(hot)))) for right in rights]
+    named = F.col(on).isin([value for value in hot if value is not None])
+    is_hot = F.col(on).isNull() | named
+    few = [F.broadcast(right.filter(named)) for right in rights]
     return _join_all(left.filter(~is_hot), rights, on).unionByName(
         _join_all(left.filter(is_hot), few, on)
     )

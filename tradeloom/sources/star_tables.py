@@ -98,7 +98,7 @@ def _customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
     return customer.join(places, customer["c_nationkey"] == places["n_nationkey"], "left").select(
         F.col("c_custkey").alias("customer_id"),
         F.when(every("c_custkey", 50, 7), -F.col("c_custkey"))
-        .otherwise(F.floor(F.col("c_custkey") / 3).cast("bigint"))
+        .otherwise(F.expr("c_custkey div 3"))
         .alias("customer_unique_id"),
         F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
         F.col("r_name").alias("customer_city"),
@@ -148,7 +148,7 @@ def _order_reviews(events: DataFrame) -> DataFrame:
     )
     return events.select(
         F.col("event_id").alias("review_id"),
-        F.floor(F.col("event_id") / 3).cast("bigint").alias("order_id"),
+        F.expr("event_id div 3").alias("order_id"),
         F.when(every("event_id", 1013), 7)
         .otherwise((F.col("event_id") % 5 + 1).cast("int"))
         .alias("review_score"),

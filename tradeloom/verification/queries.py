@@ -12,7 +12,7 @@ from tradeloom.functions import labels
 from tradeloom.functions.measures import distinct_list, value_segment
 from tradeloom.functions.timestamps import day_diff, safe_timestamp
 from tradeloom.lazy import Frames
-from tradeloom.operators.lookup import hot_keys, lookup_join
+from tradeloom.operators.lookup import frequent_keys, lookup_join
 from tradeloom.operators.ranking import top_k
 from tradeloom.operators.stage import stage_folder, staged
 from tradeloom.plans import build, intermediate, marts, quality, reports
@@ -141,8 +141,8 @@ register(
 
 def _enriched_hot(m: Models) -> DataFrame:
     """Order keys that hold the most line items take the hot path."""
-    hot = hot_keys(m.staging["stg_order_items"], "order_id", share=0.0001)
-    return build.enriched_orders(m.staging, hot)
+    found, _ = frequent_keys(m.staging["stg_order_items"], "order_id", most=100)
+    return build.enriched_orders(m.staging, [value for value, _ in found])
 
 
 register("int_orders_enriched_hot_keys", _enriched_hot, doubles("v_enriched", *ORDER_MONEY))
