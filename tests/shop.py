@@ -85,14 +85,14 @@ def write_csvs(folder, prefix: str = "shop_") -> None:
     for name, spec in SOURCES.items():
         first = prefix if spec.file.endswith("dataset") else ""
         lines = [",".join(spec.columns)]
-        lines += [",".join(_quoted(item) for item in row) for row in ROWS[name]]
+        lines += [",".join(quoted(item) for item in row) for row in ROWS[name]]
         (folder / f"{first}{spec.file}.csv").write_text("\n".join(lines) + "\n")
 
 
-def _quoted(item) -> str:
+def quoted(item, always: bool = False) -> str:
     if item is None:
         return ""
     text = str(item)
-    if any(mark in text for mark in ',"\n'):
+    if always or any(mark in text for mark in ',"\n'):
         return '"' + text.replace('"', '""') + '"'
     return text

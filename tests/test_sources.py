@@ -7,12 +7,12 @@ import pytest
 
 import shop
 from tradeloom.sources.catalog import SOURCES
-from tradeloom.sources.csv_files import (
-    CORRUPT,
-    MissingSource,
+from tradeloom.sources.csv_files import CORRUPT, MissingSource, read_source, source_path
+from tradeloom.sources.csv_records import (
     files_with_open_lines,
-    read_source,
-    source_path,
+    numbered_lines,
+    read_lines,
+    write_records,
 )
 from tradeloom.sources.tables import load_all, load_summary
 
@@ -88,6 +88,75 @@ def test_complete_lines_are_not_suspected(spark, tmp_path):
     assert not files_with_open_lines(spark, [str(tmp_path / "f.csv")])
 
 
+REVIEWS = SOURCES["order_reviews"]
+
+
+def reviews_file(path, end="\n", rows=400):
+    """Reviews whose comments hold quotes, commas and one to three line ends."""
+    texts = ['plain', f'two{end}lines', f'"quoted", said{end}{end}they', f'a{end}"b"{end}c,"', '']
+    lines = [",".join(REVIEWS.columns)]
+    for i in range(rows):
+        text = shop.quoted(texts[i % 5], always=i % 2 == 0)
+        lines.append(f"r{i},o{i % 7},{i % 5 + 1},t,{text},2017-01-01,")
+    path.write_bytes((end.join(lines) + end).encode())
+    return str(path)
+
+
+@pytest.fixture()
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_cut_in_parallel_equal_a_whole_read(spark, tmp_path, small_splits, end):
+    reviews_file(tmp_path / "a.csv", end)
+    reviews_file(tmp_path / "b.csv", end, rows=90)
+    names = [str(tmp_path / name) for name in ("a.csv", "b.csv")]
+    assert read_lines(spark, names).rdd.getNumPartitions() > 5
+    whole = read_source(spark, REVIEWS, str(tmp_path)).collect()
+    cut = read_source(spark, REVIEWS, str(tmp_path), split_bytes=10).collect()
+    assert len(whole) == 490 and write_records(spark, names)
+    assert sorted(map(str, cut)) == sorted(map(str, whole))
+
+
+def test_malformed_records_are_skipped_when_cut(spark, tmp_path, small_splits):
+    path = reviews_file(tmp_path / "a.csv", rows=50)
+    with open(path, "a", newline="") as file:
+        file.write('r97,o,5,t,"kept\r\nas it is",,\n')
+        file.write('short,"a\nb"\nr98,o,bad,t,x,,\nr99,o,5,t,"x\ny",,\n')
+    whole = read_source(spark, REVIEWS, path)
+    cut = read_source(spark, REVIEWS, path, split_bytes=10)
+    assert "csv-cut" in cut.inputFiles()[0]
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+    assert len(cut.collect()) == 52
+    assert "kept\r\nas it is" in {row.review_comment_message for row in cut.collect()}
+    kept = read_source(spark, REVIEWS, path, malformed="keep", split_bytes=10).collect()
+    assert sum(row[CORRUPT] is not None for row in kept) == 2
+
+
+def test_quotes_out_of_place_fall_back_to_a_whole_read(spark, tmp_path, small_splits):
+    path = reviews_file(tmp_path / "a.csv", rows=50)
+    with open(path, "a") as file:
+        file.write('r99,o,5,5" pipe,x,,\nr98,o,5,t,"x\ny",,\n')
+    assert write_records(spark, [path]) is None
+    whole = read_source(spark, REVIEWS, path).collect()
+    assert sorted(map(str, read_source(spark, REVIEWS, path, split_bytes=10).collect())) == sorted(
+        map(str, whole)
+    )
+    assert len(whole) == 52
+
+
+def test_records_are_numbered_across_splits(spark, tmp_path, small_splits):
+    path = reviews_file(tmp_path / "a.csv", rows=60)
+    lines = numbered_lines(spark, [path]).orderBy("block", "pos").collect()
+    assert len({row.block for row in lines}) > 2
+    assert [row.record for row in lines] == sorted(row.record for row in lines)
+    assert {row.record for row in lines} == set(range(61))
+
+
 def test_column_order_and_extra_columns(spark, tmp_path):
     text = "price,order_id,note,order_item_id,product_id,seller_id,shipping_limit_date,freight_value\n"
     (tmp_path / "f.csv").write_text("﻿" + text + "4.25,o1,hello,1,x1,s1,,0.5\n")

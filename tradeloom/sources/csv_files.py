@@ -5,16 +5,16 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from tradeloom.sources.catalog import MONEY, SourceSpec
+from tradeloom.sources.csv_records import RECORD_END, files_with_open_lines, write_records
 
 CORRUPT = "_corrupt_record"
 SPLIT_BYTES = 128 * 1024 * 1024
 # A doubled quote inside quotes stands for one quote.
 DIALECT = {"header": True, "quote": '"', "escape": '"'}
-# Complete fields only, once doubled quotes are taken out.
-WHOLE_FIELDS = '^(?:[^",]*|"[^"]*")(?:,(?:[^",]*|"[^"]*"))*$'
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 
 
 class MissingSource(FileNotFoundError):
@@ -82,33 +82,21 @@ def _read_by_shape(
 
     A file within one split is one task either way, so it is read with quoted
     line ends allowed. A larger file is cut at line ends if no quoted field of
-    it holds one; if one does, only reading that file from its start can tell
-    which line ends count, so it streams through a task of its own.
+    it holds one, else at record ends. What neither suits (a compressed file, a
+    quote out of place) streams through a task per file.
     """
-    large = [name for name, size in files.items() if size > split_bytes]
+    large = [n for n, size in files.items() if size > split_bytes and not n.endswith(COMPRESSED)]
     broken = files_with_open_lines(spark, large) if large else set()
     by_line = [name for name in large if name not in broken]
-    whole = [name for name in files if name not in set(by_line)]
+    cut = write_records(spark, sorted(broken)) if broken else None
+    apart = set(by_line) | (broken if cut else set())
+    whole = [name for name in files if name not in apart]
     parts = []
     if whole:
         parts.append(reader.option("multiLine", True).csv(whole))
     if by_line:
         parts.append(reader.option("multiLine", False).csv(by_line))
+    if cut:
+        by_record = reader.option("multiLine", False).option("header", False)
+        parts.append(by_record.option("lineSep", RECORD_END).csv(cut))
     return reduce(DataFrame.unionByName, parts)
-
-
-def files_with_open_lines(spark: SparkSession, paths: list[str]) -> set[str]:
-    """The files of ``paths`` in which some line is not a whole number of fields.
-
-    If every line is, the first one ends a record, so the second starts one,
-    and so on: line ends and record ends are the same.
-    """
-    lines = spark.read.option("lineSep", "\n").text(paths)
-    open_lines = lines.filter(~_is_whole(F.col("value"))).select("_metadata.file_path")
-    return {row["file_path"] for row in open_lines.distinct().collect()}
-
-
-def _is_whole(line: Column) -> Column:
-    line = F.regexp_replace(line, "\r$", "")
-    bare = F.replace(line, F.lit('""'), F.lit(""))
-    return bare.rlike(WHOLE_FIELDS) & ~line.contains("\r")
