@@ -56,10 +56,11 @@ def test_malformed_rows_can_be_kept(spark, tmp_path):
 
 
 def test_large_files_split_only_where_lines_are_records(spark, tmp_path):
-    write(tmp_path / "a", GOOD, QUOTED, name="plain.csv")
-    path = write(tmp_path / "a", BROKEN_LINE, GOOD.replace("o1", "o7"), name="broken.csv")
-    names = [f"{path}/plain.csv", f"{path}/broken.csv"]
-    assert {name[-10:] for name in files_with_open_lines(spark, names)} == {"broken.csv"}
+    folder = tmp_path / "a b%20c"
+    write(folder, GOOD, QUOTED, name="plain one.csv")
+    path = write(folder, BROKEN_LINE, GOOD.replace("o1", "o7"), name="é broken.csv")
+    names = [f"{path}/plain one.csv", f"{path}/é broken.csv"]
+    assert files_with_open_lines(spark, names) == {f"file:{names[1]}"}
     rows = read_source(spark, ITEMS, path, split_bytes=10).collect()
     assert sorted(row.order_id for row in rows) == ["o1", "o2", "o3", "o7"]
     assert {row.product_id for row in rows} >= {"two\nlines", 'say "hi"'}

@@ -72,11 +72,15 @@ def read_source(
         .option("mode", "PERMISSIVE" if malformed == "keep" else "DROPMALFORMED")
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
-    return _read_by_shape(spark, reader, files, split_bytes)
+    return _read_by_shape(spark, reader, path, files, split_bytes)
 
 
 def _read_by_shape(
-    spark: SparkSession, reader: DataFrameReader, files: dict[str, int], split_bytes: int
+    spark: SparkSession,
+    reader: DataFrameReader,
+    path: str,
+    files: dict[str, int],
+    split_bytes: int,
 ) -> DataFrame:
     """Read each file in the way that is right for it and most parallel.
 
@@ -91,6 +95,8 @@ def _read_by_shape(
     cut = write_records(spark, sorted(broken)) if broken else None
     apart = set(by_line) | (broken if cut else set())
     whole = [name for name in files if name not in apart]
+    if not apart:
+        return reader.option("multiLine", True).csv(path)
     parts = []
     if whole:
         parts.append(reader.option("multiLine", True).csv(whole))

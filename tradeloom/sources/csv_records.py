@@ -32,7 +32,11 @@ def files_with_open_lines(spark: SparkSession, paths: list[str]) -> set[str]:
     and so on: line ends and record ends are the same.
     """
     open_lines = read_lines(spark, paths).filter(~is_whole(F.col("value")))
-    return {row["file_path"] for row in open_lines.select("_metadata.file_path").distinct().collect()}
+    found = open_lines.select("_metadata.file_path").distinct().collect()
+    # Metadata names files as URIs, in which a blank is %20; readers take paths.
+    named = spark.read.format("binaryFile").load(paths).select("path", "_metadata.file_path")
+    path_of = {row["file_path"]: row["path"] for row in named.collect()}
+    return {path_of[row["file_path"]] for row in found}
 
 
 def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
