@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradeloom.functions import labels
-from tradeloom.functions.measures import distinct_list, value_segment
+from tradeloom.functions.measures import distinct_list, percent_of_rows, value_segment
 from tradeloom.functions.timestamps import day_diff, safe_timestamp
 from tradeloom.lazy import Frames
 from tradeloom.operators.lookup import frequent_keys, lookup_join
@@ -311,8 +311,8 @@ register(
     "percent_labels",
     lambda m: m.spark.read.parquet(f"{m.folder}/lineitem.parquet")
     .groupBy("l_suppkey")
-    .agg((F.count_if(F.col("l_returnflag") == "R") * 100.0 / F.count("*")).alias("rate"))
-    .select("l_suppkey", labels.percent_label(F.col("rate").cast("double")).alias("label")),
+    .agg(percent_of_rows(F.col("l_returnflag") == "R").alias("rate"))
+    .select("l_suppkey", labels.percent_label(F.col("rate")).alias("label")),
     """
     SELECT l_suppkey, printf('%.1f%%', count(*) FILTER (l_returnflag = 'R') * 100.0::DOUBLE
                                        / count(*)) AS label
