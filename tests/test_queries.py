@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__
 import compare
+from tradeloom.verification.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +16,8 @@ def second_engine():
 
 def test_all_queries_have_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

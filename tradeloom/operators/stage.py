@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 def stage_folder(spark: SparkSession) -> str:
     """Shared folder for intermediate results.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    go without; anything else would land on one machine's disk.
+    The cluster names it in ``spark.checkpoint.dir``. Without that name it is a
+    folder below the warehouse, which all executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="tradeloom-stage-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.stage"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a re-computation.
@@ -30,5 +27,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
