@@ -148,6 +148,12 @@ def labelled_samples(docs: DataFrame, id_col: str, text_col: str, sample_docs: i
     ).filter(F.length("token") >= 4)
 
 
+def with_rank(found: Column, rank: int) -> Column:
+    return F.transform(
+        found, lambda span: F.struct(span["start"].alias("start"), F.lit(rank).alias("rank"), span["end"].alias("end"))
+    )
+
+
 def scan(
     docs: DataFrame,
     model: MarkovModel | None = None,
@@ -187,11 +193,9 @@ def scan(
         lambda span: span["part"].isNotNull()
         & ~F.exists(base, lambda known: (known["start"] < span["end"]) & (span["start"] < known["end"])),
     )
-    kinds = (("assign", F.col("__assign")), ("access", F.col("__access")), ("hex", F.col("__hex")), ("random", F.coalesce(added, F.expr(f"cast(array() as array<{SPAN}>)"))))
-    ranked = [
-        F.transform(spans_, lambda span, n=n: F.struct(span["start"].alias("start"), F.lit(n).alias("rank"), span["end"].alias("end")))
-        for n, (_, spans_) in enumerate(kinds)
-    ]
+    none = F.expr(f"cast(array() as array<{SPAN}>)")
+    by_kind = (F.col("__assign"), F.col("__access"), F.col("__hex"), F.coalesce(added, none))
+    ranked = [with_rank(found, rank) for rank, found in enumerate(by_kind)]
     names = F.array(*(F.lit(kind) for kind in KINDS))
     ordered = F.transform(
         F.array_sort(F.concat(*ranked)),
