@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import decontaminate, line_dedup, packing, secrets, sharding, topk, url_rules
+from tradeloom.llm import decontaminate, line_dedup, packing, secrets, sharding, topk, toxicity, url_rules
 from tradeloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,22 @@ def op6_minimax_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_network(spark: SparkSession, folder: str) -> toxicity.Network:
+    """The network of the query: trained on labels of rows that are not held out."""
+    labels = table(spark, folder, "labels").filter(~toxicity.held_out("doc_id"))
+    return toxicity.fit(table(spark, folder, "documents"), labels)
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.score(documents, toxicity_network(spark, folder)).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -83,6 +99,7 @@ QUERIES: dict[str, Query] = {
         op4_url_filter,
         op5_benchmark_decontamination,
         op6_minimax_sharding,
+        op7_toxicity,
         op8_sum_of_squares_packing,
         op9_line_dedup,
         op10_exact_top_k,
