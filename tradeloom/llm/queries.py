@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import decontaminate, line_dedup, packing, secrets, sharding, topk, toxicity, url_rules
+from tradeloom.llm import decontaminate, jaccard, line_dedup, packing, secrets, sharding, topk, toxicity, url_rules
 from tradeloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     scanned = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
     spans = F.col("secrets")
@@ -95,6 +99,7 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_ngram_jaccard_join,
         op3_secret_scan,
         op4_url_filter,
         op5_benchmark_decontamination,
