@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import decontaminate, jaccard, line_dedup, packing, secrets, sharding, topk, toxicity, url_rules
+from tradeloom.llm import decontaminate, jaccard, line_dedup, packing, secrets, sharding, suffix_dedup, topk, toxicity, url_rules
 from tradeloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.dedup_substrings(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
@@ -99,6 +104,7 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_suffix_array_dedup,
         op2_ngram_jaccard_join,
         op3_secret_scan,
         op4_url_filter,
