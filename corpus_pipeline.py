@@ -7,30 +7,57 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import line_dedup, packing
-from tradeloom.llm.common import table
+from tradeloom.llm import decontaminate, jaccard, line_dedup, packing, toxicity
+from tradeloom.llm.common import id_key, table
+from tradeloom.llm.queries import TOXIC, toxicity_network
 from tradeloom.operators.stage import stage_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the network scores as toxic go.
+
+    It is trained on the labels that are not held out, with the texts of the
+    table the labels are about.
+    """
+    scored = toxicity.score(docs.select(*COLUMNS), toxicity_network(spark, sf_dir))
+    return scored.filter(F.col("score") < TOXIC).select(*COLUMNS)
+
+
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that a document of a smaller id holds go; documents stay."""
     kept = line_dedup.dedup_lines(docs.select(*COLUMNS))
     return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of the smallest id stays."""
+    return jaccard.drop_near_duplicates(docs.select(*COLUMNS))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.select(id_key("doc_id").alias("__k")).distinct()
+    return docs.select(*COLUMNS, id_key("doc_id").alias("__k")).join(hit, "__k", "left_anti").select(*COLUMNS)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces of token sequences."""
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
     ("line_dedup", line_dedup_stage),
+    ("ngram_jaccard", jaccard_stage),
+    ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
 
-#: SQL cannot express the stages; tests hold them against brute force.
+#: SQL cannot express the network; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 

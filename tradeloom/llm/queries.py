@@ -20,6 +20,10 @@ URL_RULES = (
 )
 
 
+#: Scores from here on count as toxic.
+TOXIC = 0.3
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
@@ -83,7 +87,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         toxicity.held_out("doc_id").alias("held_out"),
         "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
     )
 
 
