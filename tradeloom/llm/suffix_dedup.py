@@ -382,7 +382,6 @@ def cut(text: bytes, spans) -> tuple[int, int, bytes]:
     return removed, runs, b"".join(kept)
 
 
-@F.pandas_udf("n_removed bigint, n_spans bigint, kept binary")
 def without_spans(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     rows = [(0, 0, bytes(t)) if s is None else cut(bytes(t), s) for t, s in zip(texts, spans)]
     return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept"])
@@ -456,10 +455,11 @@ def dedup_substrings(
     keyed = docs.withColumn("__t", text_of(text_col).cast("binary")).withColumn(
         "__doc", F.xxhash64(id_key(id_col), "__t")
     )
+    cut_out = F.pandas_udf(without_spans, "n_removed bigint, n_spans bigint, kept binary")
     spans = repeated_spans(keyed.select(F.col("__doc").alias("doc"), F.col("__t").alias("t")), length)
     joined = keyed.join(
         spans.select(F.col("doc").alias("__doc"), F.col("spans").alias("__spans")).hint("shuffle_hash"), "__doc", "left"
-    ).withColumn("__cut", without_spans("__t", "__spans"))
+    ).withColumn("__cut", cut_out("__t", "__spans"))
     return replaced(
         joined,
         n_bytes=F.length("__t").cast("bigint"),

@@ -203,12 +203,13 @@ class Adam:
 
 
 def train(
-    texts: list[str], labels: list[int], epochs: int = 6, rate: float = 0.01, batch: int = 64, top: int = 4, seed: int = 7
+    texts: list[str], labels: list[int], steps: int = 400, rate: float = 0.01, batch: int = 16, top: int = 4, seed: int = 7
 ) -> Network:
     """Fit the network to labelled texts.
 
     A text is as toxic as its worst window, so the loss of a text is spread
-    over its ``top`` worst windows, by softmax.
+    over its ``top`` worst windows, by softmax. The number of steps does not
+    depend on the number of texts; few texts are seen more often.
     """
     network, rng = Network.fresh(seed), np.random.default_rng(seed)
     known: dict[str, int] = {}
@@ -216,10 +217,10 @@ def train(
     vocabulary, labels_ = list(known), np.array(labels, np.float32)
     adam = Adam(network.p, rate)
     first = np.searchsorted(windows.document, np.arange(len(texts) + 1))
-    for epoch in range(epochs if vocabulary else 0):
-        adam.rate = rate * (1 if epoch < epochs * 2 // 3 else 0.3)
+    while vocabulary and adam.t < steps:
         order = rng.permutation(len(texts))
         for low in range(0, len(order), batch):
+            adam.rate = rate * (1 if adam.t < steps * 2 // 3 else 0.3)
             chosen = order[low : low + batch]
             own = np.concatenate([np.arange(first[d], first[d + 1]) for d in chosen])
             words, index = np.unique(windows.index[own], return_inverse=True)
@@ -271,7 +272,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return [row.t for row in found], [row.label for row in found]
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 2000) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 3000) -> Network:
     """Train on at most ``rows`` labelled documents."""
     return train(*labelled_sample(docs, labels, id_col, text_col, label_col, rows))
 
