@@ -180,7 +180,7 @@ def verify(threshold: float):
 
 def join_blocks(threshold: float, tolerance: float):
     """Links within a bucket between two of its blocks: for each text their
-    number, and the smallest text it is linked with."""
+    number, and the smallest text that links within the group lead to."""
     steps = least_matches(threshold, tolerance)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -193,7 +193,14 @@ def join_blocks(threshold: float, tolerance: float):
         order = [list(b) for b in group["big"]]
         key, ids, copies = group["key"].iloc[0], group["r"].to_numpy(), group["copies"].to_numpy()
         links, weight = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
-        nearest = ids.copy()
+        root = list(range(len(group)))
+
+        def top(place: int) -> int:
+            while root[place] != place:
+                root[place] = root[root[place]]
+                place = root[place]
+            return place
+
         for i in range(split):
             rest = np.arange(i + 1, split) if own == other else np.arange(split, len(group))
             if not len(rest):
@@ -210,9 +217,10 @@ def join_blocks(threshold: float, tolerance: float):
                     links[j] += 1
                     weight[i] += copies[j]
                     weight[j] += copies[i]
-                    nearest[i], nearest[j] = min(nearest[i], ids[j]), min(nearest[j], ids[i])
-        found = links > 0
-        return pd.DataFrame({"r": ids[found], "links": weight[found], "near": nearest[found]})
+                    one, two = top(i), top(j)
+                    root[max(one, two, key=ids.__getitem__)] = min(one, two, key=ids.__getitem__)
+        found = np.flatnonzero(links)
+        return pd.DataFrame({"r": ids[found], "links": weight[found], "near": [ids[top(i)] for i in found]})
 
     return run
 
