@@ -91,45 +91,44 @@ class MarkovModel:
         """Total ratio of a token made of ``ALPHABET``, in nats."""
         table = F.split(F.lit(",".join(f"{r:.5f}" for r in self.ratios)), ",").cast("array<double>")
 
-        def step(done: Column, i: Column) -> Column:
-            place = F.position(F.substr(token, i, F.lit(1)), F.lit(ALPHABET))
+        def step(done: Column, character: Column) -> Column:
+            place = F.position(character, F.lit(ALPHABET))
             ratio = F.get(table, done["last"] * len(ALPHABET) + place - 1)
             return F.struct(place.alias("last"), (done["sum"] + ratio).alias("sum"))
 
         begin = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"))
-        return F.aggregate(F.sequence(F.lit(1), F.length(token)), begin, step, lambda done: done["sum"])
+        return F.aggregate(F.split(token, ""), begin, step, lambda done: done["sum"])
 
 
-def train(samples: DataFrame, token: str = "token", is_random: str = "is_random", smoothing: float = 1.0) -> MarkovModel:
+def train(samples: DataFrame, token: str = "token", is_random: str = "is_random", smoothing: float = 20.0) -> MarkovModel:
     """Fit both models to labelled tokens.
 
     Counts of character pairs are summed before the shuffle; at most
     ``2 * 68 * 67`` of them reach the driver. Characters outside ``ALPHABET``
-    are left out, null tokens and labels too. Without any sample of a label its
-    model is uniform.
+    are left out, null tokens and labels too. What follows a character is
+    smoothed by how often it occurs at all, worth ``smoothing`` samples; without
+    any sample of a label its model is uniform.
     """
     width = len(ALPHABET)
     clean = samples.select(
         F.regexp_replace(col(token).cast("string"), "[^A-Za-z0-9+/_=-]", "").alias("t"),
         col(is_random).cast("boolean").alias("r"),
     ).filter("t <> '' AND r IS NOT NULL")
-    at = lambda i: F.position(F.substr(F.col("t"), i, F.lit(1)), F.lit(ALPHABET))
-    pairs = clean.select(
-        "r",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length("t")),
-                lambda i: F.when(i == 1, F.lit(0)).otherwise(at(i - 1)) * width + at(i) - 1,
-            )
-        ).alias("pair"),
-    )
+    place = lambda character: F.position(character, F.lit(ALPHABET))
+    chars = clean.select("r", F.split("t", "").alias("c"))
+    pair = lambda c, i: F.when(i == 0, F.lit(0)).otherwise(place(F.get("c", i - 1))) * width + place(c) - 1
+    pairs = chars.select("r", F.explode(F.transform("c", pair)).alias("pair"))
     counts = {True: [0] * (width + 1) * width, False: [0] * (width + 1) * width}
     for row in pairs.groupBy("r", "pair").count().collect():
         counts[row.r][row.pair] = row["count"]
 
     def logs(kind: bool) -> list[float]:
         rows = [counts[kind][k * width : (k + 1) * width] for k in range(width + 1)]
-        return [math.log((n + smoothing) / (sum(row) + smoothing * width)) for row in rows for n in row]
+        seen = [sum(column) for column in zip(*rows)]
+        alone = [(n + 1) / (sum(seen) + width) for n in seen]
+        return [
+            math.log((n + smoothing * p) / (sum(row) + smoothing)) for row in rows for n, p in zip(row, alone)
+        ]
 
     return MarkovModel(tuple(a - b for a, b in zip(logs(True), logs(False))))
 
@@ -161,7 +160,7 @@ def scan(
     text_col: str = "text",
     sample_docs: int = 2000,
     threshold: float = 20.0,
-    per_character: float = 1.2,
+    per_character: float = 0.8,
 ) -> DataFrame:
     """Find secrets in every text.
 
