@@ -253,7 +253,8 @@ def score_texts(network: Network, texts: list[str]) -> np.ndarray:
     for low in range(0, len(logits), 1024):
         part = slice(low, low + 1024)
         logits[part] = network.read(projected, windows.index[part], windows.length[part])
-    return sigmoid(worst(logits, windows, len(texts)).astype(np.float64))
+    # What numpy adds up in another order for another batch is rounded away.
+    return sigmoid(worst(logits, windows, len(texts)).astype(np.float64)).round(5)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> tuple[list[str], list[int]]:

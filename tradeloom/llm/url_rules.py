@@ -109,8 +109,8 @@ def judge_urls(
 
     Returns the input's columns, then ``host, path, rule, verdict`` (columns of
     these names make room); ``rule`` is host and path, or null. Null urls and
-    urls without ``://`` have empty host and path, which only a rule of an empty
-    host fits. Rules of null host or verdict fit nothing; a null path is empty.
+    urls without ``://`` have empty host and path. A rule of empty host fits all
+    hosts. Rules of null host or verdict fit nothing; a null path is empty.
     Repeated rows are judged alike; without rules all get ``default``.
 
     At scale: each host and path is judged once. Keys are dealt into ranges
