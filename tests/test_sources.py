@@ -5,7 +5,10 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import shop
+from tradeloom.functions.measures import value_segment
 from tradeloom.sources.catalog import SOURCES
 from tradeloom.sources.csv_files import CORRUPT, MissingSource, read_source, source_path
 from tradeloom.sources.csv_records import (
@@ -119,7 +122,7 @@ def test_records_cut_in_parallel_equal_a_whole_read(spark, tmp_path, small_split
     assert read_lines(spark, names).rdd.getNumPartitions() > 5
     whole = read_source(spark, REVIEWS, str(tmp_path)).collect()
     cut = read_source(spark, REVIEWS, str(tmp_path), split_bytes=10).collect()
-    assert len(whole) == 490 and write_records(spark, names)
+    assert len(whole) == 490 and write_records(spark, names, list(REVIEWS.columns))[1] == set()
     assert sorted(map(str, cut)) == sorted(map(str, whole))
 
 
@@ -142,7 +145,7 @@ def test_quotes_out_of_place_fall_back_to_a_whole_read(spark, tmp_path, small_sp
     path = reviews_file(tmp_path / "a.csv", rows=50)
     with open(path, "a") as file:
         file.write('r99,o,5,5" pipe,x,,\nr98,o,5,t,"x\ny",,\n')
-    assert write_records(spark, [path]) is None
+    assert write_records(spark, [path], list(REVIEWS.columns)) == (None, {f"file:{path}"})
     whole = read_source(spark, REVIEWS, path).collect()
     assert sorted(map(str, read_source(spark, REVIEWS, path, split_bytes=10).collect())) == sorted(
         map(str, whole)
@@ -222,3 +225,66 @@ def test_missing_files(spark, csv_folder):
         load_all(spark, str(csv_folder), on_missing="fail")
     moved = load_all(spark, str(csv_folder), files={"sellers": str(csv_folder / "elsewhere.csv")})
     assert moved.missing == [] and moved.rows["sellers"] == 2
+
+
+HARD_LINES = {
+    "lone CR in quotes": 'a{i},1,"two\rparts",s1,t,1,2',
+    "line end in quotes": 'a{i},1,"two\nparts",s1,t,1,2',
+    "doubled quotes": 'a{i},1,"say ""hi""",s1,t,1,2',
+    "short": "a{i},1,x",
+    "long": "a{i},1,x,s1,t,1,2,3",
+    "badly typed": "a{i},one,x,s1,t,1,2",
+    "20,000 commas": "a{i}" + "," * 20_000,
+    "blank": "",
+}
+
+
+@pytest.mark.parametrize("case", HARD_LINES)
+def test_rows_do_not_depend_on_file_size_or_columns(spark, tmp_path, small_splits, case):
+    lines = [(HARD_LINES[case] if i % 10 == 3 else GOOD.replace("o1", "o{i}")).replace("{i}", str(i)) for i in range(60)]
+    path = write(tmp_path / "a", *lines)
+    whole = read_source(spark, ITEMS, path, split_bytes=10**9)
+    cut = read_source(spark, ITEMS, path, split_bytes=1024)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+    expected = len(whole.collect())
+    for frame in (whole, cut):
+        assert frame.count() == len(frame.select("seller_id").collect()) == expected
+    assert expected == (60 if "quote" in case else 54)
+
+
+@pytest.mark.parametrize("split_bytes", [10, 10**9])
+@pytest.mark.parametrize("field", ["plain", '"two\nlines"'])
+def test_parts_with_another_header_raise_at_any_size(spark, tmp_path, small_splits, split_bytes, field):
+    path = write(tmp_path / "a", *[GOOD] * 20)
+    other = ",".join(reversed(ITEMS.columns))
+    (tmp_path / "a" / "part-1.csv").write_text(other + f"\n0.1,1.5,,s1,{field},1,o9\n" * 20)
+    with pytest.raises(Exception, match="header"):
+        read_source(spark, ITEMS, path, split_bytes=split_bytes).collect()
+
+
+def test_only_the_bad_file_is_read_by_one_task(spark, tmp_path, small_splits):
+    reviews_file(tmp_path / "good.csv", rows=300)
+    with open(reviews_file(tmp_path / "bad.csv", rows=20), "a") as file:
+        file.write('r99,o,5,5" pipe,x,,\n')
+    cut = read_source(spark, REVIEWS, str(tmp_path), split_bytes=10)
+    assert cut.rdd.getNumPartitions() > 10
+    assert sorted(map(str, cut.collect())) == sorted(map(str, read_source(spark, REVIEWS, str(tmp_path)).collect()))
+
+
+def test_two_data_sets_in_one_folder_are_refused(spark, tmp_path):
+    for name in ("old_order_items_dataset.csv", "new_order_items_dataset.csv"):
+        write(tmp_path, GOOD, name=name)
+    with pytest.raises(ValueError, match="several data sets"):
+        read_source(spark, ITEMS, source_path(str(tmp_path), ITEMS))
+    parts = tmp_path / "one"
+    for name in ("part-0.csv", "part-1.csv"):
+        parts.mkdir(exist_ok=True)
+        write(parts / "shop_order_items_dataset.csv", GOOD, name=name)
+    assert ids(read_source(spark, ITEMS, source_path(str(parts), ITEMS))) == ["o1", "o1"]
+
+
+def test_money_is_loaded_as_it_stands(spark, tmp_path):
+    path = write(tmp_path / "a", *(f"o{i},1,x,s,,{v},0" for i, v in enumerate(("149.999", "150", "499.996", "500"))))
+    rows = read_source(spark, ITEMS, path).select("order_id", value_segment(F.col("price")).alias("band"))
+    bands = [row.band for row in rows.orderBy("order_id").collect()]
+    assert bands == ["Low Value", "Mid Value", "Mid Value", "High Value"]

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 RAW, ANALYTICS = "raw", "analytics"
-MONEY = "decimal(18,2)"
+#: Keeps the places a file holds; sums stay exact whatever their order.
+MONEY = "decimal(28,6)"
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from tradeloom.sources.catalog import MONEY, SourceSpec
 from tradeloom.sources.csv_records import RECORD_END, files_with_open_lines, write_records
@@ -22,6 +22,8 @@ class MissingSource(FileNotFoundError):
 
 
 def source_path(folder: str, spec: SourceSpec) -> str:
+    """Where a source is looked for: its file name with any data-set prefix. A
+    folder may hold one data set only, as a file or a folder of parts."""
     return f"{folder.rstrip('/')}/{spec.pattern}"
 
 
@@ -54,10 +56,13 @@ def read_source(
     typed; ``"keep"`` returns them too, with their text in ``_corrupt_record``.
     ``infer=True`` lets Spark guess the types in a second pass instead.
 
-    Skipping happens while columns are parsed, so write all columns before
-    counting; a bare ``count()`` on this frame parses none and skips nothing.
+    All columns are parsed whichever are selected, so the rows do not depend on
+    that, nor on the size of the files.
     """
     files = list_files(spark, path)
+    sets = {part for name in files for part in name.split("/") if part.endswith(f"{spec.file}.csv")}
+    if len(sets) > 1:
+        raise ValueError(f"{path} matches several data sets: {', '.join(sorted(sets))}")
     if infer:
         guessing = spark.read.options(**DIALECT, multiLine=True, inferSchema=True)
         return guessing.option("mode", "DROPMALFORMED").csv(path)
@@ -68,11 +73,14 @@ def read_source(
         schema = schema.add(CORRUPT, "string")
     reader = (
         spark.read.schema(schema)
-        .options(**DIALECT, enforceSchema=False)
+        .options(**DIALECT, enforceSchema=False, columnPruning=False)
         .option("mode", "PERMISSIVE" if malformed == "keep" else "DROPMALFORMED")
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
-    return _read_by_shape(spark, reader, path, files, split_bytes)
+    found = _read_by_shape(spark, reader, path, files, split_bytes, header)
+    # A badly typed value shows only where its column is read, so read all.
+    every = F.array(*(F.col(f"`{name}`").cast("string") for name in found.columns))
+    return found.filter(F.size(every) == len(found.columns))
 
 
 def _read_by_shape(
@@ -81,19 +89,20 @@ def _read_by_shape(
     path: str,
     files: dict[str, int],
     split_bytes: int,
+    header: list[str],
 ) -> DataFrame:
     """Read each file in the way that is right for it and most parallel.
 
     A file within one split is one task either way, so it is read with quoted
     line ends allowed. A larger file is cut at line ends if no quoted field of
-    it holds one, else at record ends. What neither suits (a compressed file, a
-    quote out of place) streams through a task per file.
+    it holds one, else at record ends. A file that neither suits (compressed, a
+    quote out of place) streams through a task of its own.
     """
     large = [n for n, size in files.items() if size > split_bytes and not n.endswith(COMPRESSED)]
     broken = files_with_open_lines(spark, large) if large else set()
     by_line = [name for name in large if name not in broken]
-    cut = write_records(spark, sorted(broken)) if broken else None
-    apart = set(by_line) | (broken if cut else set())
+    cut, failed = write_records(spark, sorted(broken), header) if broken else (None, set())
+    apart = set(by_line) | (broken - failed)
     whole = [name for name in files if name not in apart]
     if not apart:
         return reader.option("multiLine", True).csv(path)

@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tradeloom.operators.stage import stage_folder, staged
 
-# Complete fields only, once doubled quotes are taken out.
-WHOLE_FIELDS = '^(?:[^",]*|"[^"]*")(?:,(?:[^",]*|"[^"]*"))*$'
+# Stands for a quoted part of a line once its text is taken out.
+QUOTED = "\x01"
 RECORD_BYTES = 16 * 1024 * 1024
 RECORD_END = "\x1e"
 
 
+def without_quoted(text: Column) -> Column:
+    """``text`` with ``QUOTED`` for each quoted part; a stray quote stays."""
+    bare = F.replace(F.replace(text, F.lit(QUOTED), F.lit("?")), F.lit('""'), F.lit(""))
+    return F.regexp_replace(bare, '"[^"]*"', QUOTED)
+
+
 def is_whole(text: Column) -> Column:
-    """Is ``text`` a whole number of fields, with line ends in quotes only?"""
-    bare = F.replace(F.regexp_replace(text, "\r$", ""), F.lit('""'), F.lit(""))
-    unquoted = F.regexp_replace(bare, '"[^"]*"', "")
-    return bare.rlike(WHOLE_FIELDS) & ~unquoted.rlike("[\r\n]")
+    """Is ``text`` a whole number of fields, with line ends in quotes only?
+
+    No stray quote is left, and a quoted part fills its field. The time is
+    linear in the text, however many fields it has.
+    """
+    rest = without_quoted(F.regexp_replace(text, "\r$", ""))
+    return ~rest.contains('"') & ~rest.rlike(f"[^,]{QUOTED}|{QUOTED}[^,]") & ~rest.rlike("[\r\n]")
+
+
+def is_whole_line(text: Column) -> Column:
+    """``is_whole`` for a line: a carriage return within it would end a line for
+    the reader by lines, quoted or not."""
+    return is_whole(text) & ~F.regexp_replace(text, "\r$", "").contains("\r")
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -26,12 +42,13 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def files_with_open_lines(spark: SparkSession, paths: list[str]) -> set[str]:
-    """The files of ``paths`` in which some line is not a whole number of fields.
+    """The files of ``paths`` in which some line is not a whole number of fields,
+    or holds a carriage return.
 
-    If every line is, the first one ends a record, so the second starts one,
+    If every line is whole, the first one ends a record, so the second starts one,
     and so on: line ends and record ends are the same.
     """
-    open_lines = read_lines(spark, paths).filter(~is_whole(F.col("value")))
+    open_lines = read_lines(spark, paths).filter(~is_whole_line(F.col("value")))
     found = open_lines.select("_metadata.file_path").distinct().collect()
     # Metadata names files as URIs, in which a blank is %20; readers take paths.
     named = spark.read.format("binaryFile").load(paths).select("path", "_metadata.file_path")
@@ -81,25 +98,35 @@ def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def write_records(spark: SparkSession, paths: list[str]) -> str | None:
+def write_records(
+    spark: SparkSession, paths: list[str], header: list[str]
+) -> tuple[str | None, set[str]]:
     """Write the records of ``paths``, without headers, to a new shared folder.
 
     They end in ``RECORD_END`` instead of a line end, so the folder can be read
-    in splits. Returns None if counting quotes is not enough to tell the records
-    apart: a quote out of place, or a record too large for one row.
+    in splits. Also returns the files this cannot be done for, as counting
+    quotes is not enough to tell their records apart: a quote out of place, or
+    a record too large for one row. The others are written all the same.
     """
     lines = staged(numbered_lines(spark, paths), "csv-lines")
     sizes = lines.groupBy("file", "record").agg(F.sum(F.octet_length("value")).alias("bytes"))
-    if not sizes.filter(F.col("bytes") > RECORD_BYTES).isEmpty():
-        return None
+    large = {r.file for r in sizes.filter(F.col("bytes") > RECORD_BYTES).select("file").distinct().collect()}
     ordered = F.sort_array(F.collect_list(F.struct("block", "pos", "value")))
     text = F.array_join(F.transform(ordered, lambda line: line["value"]), "\n")
-    records = staged(lines.groupBy("file", "record").agg(text.alias("text")), "csv-records")
-    if not records.filter(~is_whole(F.col("text")) | F.col("text").contains(RECORD_END)).isEmpty():
-        return None
-    headers = records.filter("record = 0").select(F.regexp_replace("text", "\r$", "")).distinct()
-    if len(headers.take(2)) > 1:
-        raise ValueError(f"CSV files differ in their header: {paths[0]} and others")
+    fitting = lines.filter(~F.col("file").isin(*large)) if large else lines
+    records = staged(fitting.groupBy("file", "record").agg(text.alias("text")), "csv-records")
+    odd = records.filter(~is_whole(F.col("text")) | F.col("text").contains(RECORD_END))
+    bad = large | {r.file for r in odd.select("file").distinct().collect()}
+    records = records.filter(~F.col("file").isin(*bad)) if bad else records
+    heads = records.filter("record = 0").select(F.regexp_replace("text", "\r$", "").alias("text")).distinct()
+    for row in heads.take(2):
+        names = next(csv.reader([row.text.removeprefix("\ufeff")], doublequote=True), [])
+        if names != header:
+            raise ValueError(f"CSV header does not conform: {names} instead of {header}")
+    named = spark.read.format("binaryFile").load(paths).select("path", "_metadata.file_path")
+    failed = {row["path"] for row in named.collect() if row["file_path"] in bad}
+    if len(failed) == len(paths):
+        return None, failed
     folder = f"{stage_folder(spark)}/csv-cut-{uuid.uuid4().hex}"
     # As in a whole read: if CRLF ends the records, LF stands for it in quotes.
     crlf = F.regexp_replace(F.replace(F.col("text"), F.lit("\r\n"), F.lit("\n")), "\r$", "")
@@ -107,4 +134,4 @@ def write_records(spark: SparkSession, paths: list[str]) -> str | None:
         F.when(F.col("text").endswith("\r"), crlf).otherwise(F.col("text")).alias("text")
     )
     body.write.option("lineSep", RECORD_END).text(folder)
-    return folder
+    return folder, failed

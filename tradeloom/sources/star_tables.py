@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradeloom.lazy import Frames
-from tradeloom.sources.catalog import MONEY
 
+#: The star tables hold two places.
+MONEY = "decimal(18,2)"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 

@@ -9,7 +9,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradeloom.functions import labels
-from tradeloom.functions.measures import distinct_list, percent_of_rows, value_segment
+from tradeloom.functions.measures import (
+    HIGH_VALUE,
+    LOW_VALUE,
+    MID_VALUE,
+    distinct_list,
+    percent_of_rows,
+    value_segment,
+)
 from tradeloom.functions.timestamps import day_diff, safe_timestamp
 from tradeloom.lazy import Frames
 from tradeloom.operators.lookup import frequent_keys, lookup_join
@@ -131,9 +138,9 @@ register(
     lambda m: marts.dim_customers(m.summary, high=HIGH_BAND, mid=MID_BAND),
     f"""
     SELECT * REPLACE (lifetime_value::DOUBLE AS lifetime_value,
-                      CASE WHEN ifnull(lifetime_value, 0) < {MID_BAND} THEN 'Low Value'
-                           WHEN lifetime_value < {HIGH_BAND} THEN 'Mid Value'
-                           ELSE 'High Value' END AS customer_segment)
+                      CASE WHEN lifetime_value >= {HIGH_BAND} THEN '{HIGH_VALUE}'
+                           WHEN lifetime_value >= {MID_BAND} THEN '{MID_VALUE}'
+                           ELSE '{LOW_VALUE}' END AS customer_segment)
     FROM d_customers
     """,
 )
@@ -165,13 +172,65 @@ register(
 )
 
 
-def _through_csv(m: Models, table: str, split_bytes: int) -> DataFrame:
-    """Write a raw table as CSV and read it back as a source."""
+def _through_csv(m: Models, table: str, split_bytes: int, rows: DataFrame | None = None) -> DataFrame:
+    """Write a raw table (or ``rows`` in its place) as CSV and read it back as a source."""
     folder = f"{stage_folder(m.spark)}/csv-{table}-{uuid.uuid4().hex}"
-    m.raw[table].write.options(header=True, quote='"', escape='"', emptyValue="").csv(folder)
+    rows = m.raw[table] if rows is None else rows
+    rows.write.options(header=True, quote='"', escape='"', emptyValue="", quoteAll=table == "order_items").csv(folder)
     return read_source(m.spark, SOURCES[table], folder, split_bytes=split_bytes)
 
 
+def _malformed_items(m: Models) -> DataFrame:
+    """Items with line ends and quotes in an extra column; every seventh order
+    has item numbers that are no numbers."""
+    items = m.raw["order_items"]
+    number = F.when(F.col("order_id") % 7 == 0, "six").otherwise(F.col("order_item_id").cast("string"))
+    note = F.concat(F.lit('a "note",\r'), F.col("order_id"), F.lit("\nof two lines\r\n"))
+    return items.withColumn("order_item_id", number).withColumn("note", note)
+
+
+def _as_loaded(m: Models) -> DataFrame:
+    """Prices of three places just under a whole number, and one at it."""
+    quantity = F.col("l_quantity").cast("int") * 10
+    text = F.when(F.col("l_linenumber") == 1, quantity.cast("string")).otherwise(F.concat((quantity - 1).cast("string"), F.lit(".996")))
+    lines = table_of(m, "lineitem")
+    return lines.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("order_item_id"),
+        F.lit("p").alias("product_id"),
+        F.lit("s").alias("seller_id"),
+        F.lit("").alias("shipping_limit_date"),
+        text.alias("price"),
+        F.lit("0").alias("freight_value"),
+    )
+
+
+def table_of(m: Models, name: str) -> DataFrame:
+    return m.spark.read.parquet(f"{m.folder}/{name}.parquet")
+
+
+for _split in (1024, 2**30):
+    register(
+        f"csv_order_items_malformed_{'large' if _split == 1024 else 'small'}",
+        lambda m, split=_split: _through_csv(m, "order_items", split, _malformed_items(m)).select(
+            F.col("order_id").cast("bigint").alias("order_id"), "order_item_id"
+        ),
+        "SELECT order_id, order_item_id FROM v_items WHERE order_id % 7 <> 0",
+    )
+register(
+    "csv_value_bands_as_loaded",
+    lambda m: _through_csv(m, "order_items", 1024, _as_loaded(m))
+    .groupBy(value_segment(F.col("price")).alias("segment"))
+    .agg(F.count("*").alias("items")),
+    f"""
+    SELECT CASE WHEN value >= 500 THEN '{HIGH_VALUE}' WHEN value >= 150 THEN '{MID_VALUE}'
+                ELSE '{LOW_VALUE}' END AS segment, count(*) AS items
+    FROM (SELECT l_quantity * 10 - if(l_linenumber = 1, 0, 0.004) AS value FROM lineitem)
+    GROUP BY ALL
+    """,
+)
+
+
 register(
     "csv_order_reviews",
     lambda m: _through_csv(m, "order_reviews", split_bytes=1024).select(
@@ -417,19 +476,18 @@ for _check in quality.CHECKS:
 register(
     "check_accepted_values_order_status",
     _failing("accepted_values_stg_orders_order_status"),
-    """
+    f"""
     SELECT order_status, count(*) AS n_records FROM v_orders
-    WHERE order_status NOT IN ('approved', 'canceled', 'created', 'delivered', 'invoiced',
-                               'processing', 'shipped', 'unavailable')
+    WHERE order_status NOT IN {quality.ORDER_STATUSES}
     GROUP BY order_status
     """,
 )
 register(
     "check_accepted_values_review_score",
     _failing("accepted_values_fct_orders_review_score"),
-    """
+    f"""
     SELECT review_score, count(*) AS n_records FROM f_orders
-    WHERE review_score < 1 OR review_score > 5 GROUP BY review_score
+    WHERE review_score NOT IN {quality.REVIEW_SCORES} GROUP BY review_score
     """,
 )
 register(
@@ -437,7 +495,7 @@ register(
     _failing("delivered_before_purchase"),
     """
     SELECT order_id, actual_delivery_days FROM f_orders
-    WHERE ifnull(actual_delivery_days, 0) < 0
+    WHERE actual_delivery_days < 0
     """,
 )
 register(
@@ -529,7 +587,7 @@ def _where(chosen: ReportFilter, *more: str) -> str:
 
 
 _DELIVERED = "order_status = 'delivered'"
-_KNOWN_DAYS = "actual_delivery_days >= -1000000"
+_KNOWN_DAYS = "actual_delivery_days IS NOT NULL"
 
 
 def _average(column: str, digits: int) -> str:
@@ -600,16 +658,17 @@ def _order_reports(chosen: ReportFilter) -> dict[str, str]:
 
 
 def _category_report(chosen: ReportFilter) -> str:
-    year = f"AND year(purchased_at) IN {chosen.years + (0,)}" if chosen.years else ""
+    years = ", ".join(map(str, chosen.years))
+    year = f"AND year(purchased_at) IN ({years})" if chosen.years else ""
     return f"""
         SELECT product_category, round(sum(price), 0)::DOUBLE AS revenue, count(*) AS items_sold
-        FROM f_items WHERE order_status = 'delivered' AND product_category > '' {year}
+        FROM f_items WHERE order_status = 'delivered' AND product_category IS NOT NULL {year}
         GROUP BY product_category ORDER BY revenue DESC, product_category LIMIT 15"""
 
 
 _LEADING = """
     SELECT product_category FROM f_items
-    WHERE order_status = 'delivered' AND product_category > ''
+    WHERE order_status = 'delivered' AND product_category IS NOT NULL
     GROUP BY product_category ORDER BY sum(price) DESC, product_category LIMIT 5"""
 _CUSTOMER_KPIS = f"""
     SELECT count(*) AS total_customers,
