@@ -17,7 +17,7 @@ from tradeloom.sources.csv_records import (
     read_lines,
     write_records,
 )
-from tradeloom.sources.tables import load_all, load_summary
+from tradeloom.sources.tables import load_all, load_summary, replace_table
 
 ITEMS = SOURCES["order_items"]
 HEADER = ",".join(ITEMS.columns)
@@ -288,3 +288,16 @@ def test_money_is_loaded_as_it_stands(spark, tmp_path):
     rows = read_source(spark, ITEMS, path).select("order_id", value_segment(F.col("price")).alias("band"))
     bands = [row.band for row in rows.orderBy("order_id").collect()]
     assert bands == ["Low Value", "Mid Value", "Mid Value", "High Value"]
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    good = spark.range(5).withColumn("year", F.col("id") % 2)
+    for rows in (good, good.filter("id < 3")):
+        table = replace_table(rows, "switched", "t", str(tmp_path), partition_by="year", comment="of years")
+    assert table.count() == 3 and table.filter("year = 1").count() == 1
+    failing = good.withColumn("id", F.when(F.col("id") == 4, F.raise_error("no")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="no"):
+        replace_table(failing, "switched", "t", str(tmp_path), partition_by="year")
+    assert sorted(row.id for row in spark.table("switched.t").collect()) == [0, 1, 2]
+    replace_table(good.select("id"), "switched", "t", str(tmp_path))
+    assert spark.table("switched.t").columns == ["id"]

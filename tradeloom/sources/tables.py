@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -35,23 +36,37 @@ def replace_table(
 ) -> DataFrame:
     """Replace a Parquet table with ``df`` and return the table.
 
-    With ``root`` the files go to ``root/database/table``, otherwise to the
-    session's warehouse.
+    The rows go to a new folder below ``root/database/table`` (without ``root``
+    below the session's warehouse). The table is switched to it when all rows
+    are written, and the folder it had before is removed; until then, and if
+    the write fails, the old rows can be read.
     """
     spark = df.sparkSession
     ensure_database(spark, database)
-    writer = df.write.format("parquet").mode("overwrite")
+    base = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/") + f"/{database}/{table}"
+    folder, name = f"{base}/{uuid.uuid4().hex}", f"`{database}`.`{table}`"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(folder)
+
+    before = location(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, folder, source="parquet", description=comment)
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    if root:
-        writer = writer.option("path", f"{root.rstrip('/')}/{database}/{table}")
-    name = f"`{database}`.`{table}`"
-    writer.saveAsTable(name)
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{comment}'")
+        spark.catalog.recoverPartitions(name)
+    if before and before.startswith(location(spark, name).rpartition("/")[0] + "/"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(before)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return spark.table(name)
 
 
+def location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a table, or None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[-1]["data_type"].rstrip("/") if rows else None
+
+
 def load_table(
     spark: SparkSession,
     spec: SourceSpec,
