@@ -128,7 +128,8 @@ def test_hot_person(enriched, customers):
     located = intermediate.orders_with_customer(enriched, customers)
     summary = intermediate.int_customer_summary(customers, located)
     text = summary._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count(order_marker" in text and "Window" not in text
+    assert "partial_count(order_id" in text and "Window" not in text
+    assert text.count("LeftOuter") == 1
     row = marts.dim_customers(summary).filter("customer_unique_id = 3").first()
     assert row.total_orders == ROWS // 3 + 1 and row.city == "city7"
     assert summary.count() == ROWS // 2

@@ -14,7 +14,12 @@ HIGH_LIMIT, MID_LIMIT = 500, 150
 
 def mean(value: Column) -> Column:
     """Average as exact sum over count, so partition order cannot change it."""
-    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+    return ratio(F.sum(value), F.count(value))
+
+
+def ratio(total: Column, count: Column) -> Column:
+    """Null where nothing was counted."""
+    return F.try_divide(total.cast("double"), count)
 
 
 def percent_of_rows(condition: Column) -> Column:

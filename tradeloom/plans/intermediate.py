@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tradeloom.functions.measures import LATE, delivery_status, distinct_list, is_true, mean
+from tradeloom.functions.measures import LATE, delivery_status, distinct_list, is_true, ratio
 from tradeloom.functions.timestamps import day_diff
 from tradeloom.operators.latest import latest_by, newest
 from tradeloom.operators.lookup import left_join_per_key
@@ -103,44 +103,47 @@ def orders_with_customer(enriched: DataFrame, customers: DataFrame) -> DataFrame
 def int_customer_summary(customers: DataFrame, located: DataFrame) -> DataFrame:
     """History per person, with the address of the newest order.
 
-    Three kinds of rows meet in one aggregate by person: the orders; every
-    customer record, so that persons without orders appear; and one marker per
-    distinct order, which counts orders without carrying their columns through
-    a second shuffle. All of it combines before the shuffle, so a person with
-    a third of all orders is no bigger than any other.
+    Two kinds of rows meet: the orders, and every customer record, so that
+    persons without orders appear. They are summed by person and order first,
+    which makes the orders distinct, then by person. Both combine before the
+    shuffle, so a person with a third of all orders is no bigger than any
+    other, and the join behind ``located`` runs once.
     """
     person = ["customer_unique_id"]
-    address = ["city", "state"]
+    address, order = ["city", "state"], ["purchased_at", "order_id", "customer_id"]
     orders = located.filter("has_customer").select(
         *person,
         F.col("customer_city").alias("city"),
         F.col("customer_state").alias("state"),
-        "customer_id",
-        "order_id",
-        "purchased_at",
+        *order,
         "total_revenue",
         "review_score",
         "delivery_status",
     )
     records = customers.select(*person, *address, "customer_id")
-    markers = (
-        orders.select(*person, "order_id")
-        .filter(F.col("order_id").isNotNull())
-        .distinct()
-        .select(*person, F.lit(1).alias("order_marker"))
-    )
-    rows = orders.unionByName(records, allowMissingColumns=True).unionByName(
-        markers, allowMissingColumns=True
+    per_order = (
+        orders.unionByName(records, allowMissingColumns=True)
+        .groupBy(*person, "order_id")
+        .agg(
+            F.sum("total_revenue").alias("revenue"),
+            F.count("total_revenue").alias("revenues"),
+            F.min("purchased_at").alias("first_at"),
+            F.max("purchased_at").alias("last_at"),
+            F.sum("review_score").alias("score"),
+            F.count("review_score").alias("scores"),
+            F.count_if(F.col("delivery_status") == LATE).alias("late"),
+            newest([*address, *order], order).alias("newest"),
+        )
     )
-    summed = rows.groupBy(*person).agg(
-        F.count("order_marker").alias("total_orders"),
-        F.sum("total_revenue").alias("lifetime_value"),
-        mean(F.col("total_revenue")).alias("avg_order_value"),
-        F.min("purchased_at").alias("first_order_at"),
-        F.max("purchased_at").alias("last_order_at"),
-        mean(F.col("review_score")).alias("avg_review_score"),
-        F.count_if(F.col("delivery_status") == LATE).alias("late_delivery_count"),
-        newest(address, ["purchased_at", "order_id", "customer_id"]).alias("_address"),
+    summed = per_order.groupBy(*person).agg(
+        F.count("order_id").alias("total_orders"),
+        F.sum("revenue").alias("lifetime_value"),
+        ratio(F.sum("revenue"), F.sum("revenues")).alias("avg_order_value"),
+        F.min("first_at").alias("first_order_at"),
+        F.max("last_at").alias("last_order_at"),
+        ratio(F.sum("score"), F.sum("scores")).alias("avg_review_score"),
+        F.sum("late").alias("late_delivery_count"),
+        newest([f"newest.{name}" for name in address], [f"newest.{name}" for name in order]).alias("_address"),
     )
     return summed.select(
         *person,
