@@ -129,7 +129,7 @@ def test_hot_person(enriched, customers):
     summary = intermediate.int_customer_summary(customers, located)
     text = summary._jdf.queryExecution().executedPlan().toString()
     assert "partial_count(order_id" in text and "Window" not in text
-    assert text.count("LeftOuter") == 1
+    assert text.count("Join [customer_id") == 1
     row = marts.dim_customers(summary).filter("customer_unique_id = 3").first()
     assert row.total_orders == ROWS // 3 + 1 and row.city == "city7"
     assert summary.count() == ROWS // 2
@@ -197,3 +197,14 @@ def test_hot_order_ids_leave_the_shuffle(skewed, orders, enriched):
     assert plain.first() == split.first()
     assert split.first()[0] == ROWS
     assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_warm_keys_are_found_at_a_wide_shuffle(spark):
+    keys = F.when(F.col("id") % 2 == 0, F.col("id") % 500).otherwise(F.col("id") + 1000)
+    rows = spark.range(0, 400_000, 1, 4).select(keys.alias("k"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8000")
+        assert set(hot_keys(rows, "k")) == set(range(0, 500, 2))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

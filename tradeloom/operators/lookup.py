@@ -67,13 +67,19 @@ def frequent_keys(
     return [(item["item"], item["count"]) for item in found["top"]], found["rows"]
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.005) -> list:
-    """Values of ``key`` that may hold at least ``share`` of the rows.
+def hot_keys(df: DataFrame, key: str, share: float = 0.005, partitions: float = 4) -> list:
+    """Values of ``key`` that may hold at least ``share`` of the rows, or as many
+    as ``partitions`` mean partitions of a shuffle, whichever is less.
 
-    At most ``1 / share`` values. The list only routes rows: results are the
+    So the largest key left in a shuffle is a few times the mean partition at
+    any width. At most ``1 / share`` or ``width / partitions`` values, and the
+    sketch grows with that number. The list only routes rows: results are the
     same whatever it holds, so estimates will do.
     """
-    found, rows = frequent_keys(df, key, int(1 / share))
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(share, partitions / width)
+    most = int(1 / share)
+    found, rows = frequent_keys(df, key, most, tracked=max(4096, 8 * most))
     least = max(2, share * rows)
     return [value for value, count in found if value is not None and count >= least]
 

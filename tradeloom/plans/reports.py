@@ -330,7 +330,9 @@ class ReportSession:
         made, frame = self._kept.get(key, (None, None))
         if made is None or self._clock() - made >= self._ttl:
             frame = run_report(self._marts, *key).toPandas()
-            self._kept[key] = (self._clock(), frame)
+            now = self._clock()
+            self._kept = {k: kept for k, kept in self._kept.items() if now - kept[0] < self._ttl}
+            self._kept[key] = (now, frame)
         return frame.copy()
 
     def refresh(self) -> None:

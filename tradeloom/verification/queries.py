@@ -19,7 +19,7 @@ from tradeloom.functions.measures import (
 )
 from tradeloom.functions.timestamps import day_diff, safe_timestamp
 from tradeloom.lazy import Frames
-from tradeloom.operators.lookup import frequent_keys, lookup_join
+from tradeloom.operators.lookup import frequent_keys, hot_keys, lookup_join
 from tradeloom.operators.ranking import top_k
 from tradeloom.operators.stage import stage_folder, staged
 from tradeloom.plans import build, intermediate, marts, quality, reports
@@ -55,7 +55,7 @@ class Models:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return build.enriched_orders(self.staging)
+        return build.enriched_orders(self.staging, hot_keys(self.staging["stg_orders"], "order_id"))
 
     @cached_property
     def located(self) -> DataFrame:
