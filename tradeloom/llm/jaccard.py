@@ -355,7 +355,7 @@ def near_duplicates(
         .withColumn("root", F.coalesce("root", "r"))
     )
     found = staged(found, "linked-classes")
-    heads = found.groupBy("root").agg(F.min(F.struct("class_id", "r")).alias("head"))
+    heads = staged(found.groupBy("root").agg(F.min(F.struct("class_id", "r")).alias("head")), "heads")
     grouped = staged(
         found.join(heads, "root").select(
             *same,
