@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tradeloom.operators.stage import staged
+
 #: What a null id counts as wherever ids are ordered or joined.
 LAST_ID = 2**63 - 1
 
@@ -35,6 +39,20 @@ def replaced(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *(value.alias(name) for name, value in columns.items()))
 
 
+def one_by_one(frames: Iterable[DataFrame], name: str) -> DataFrame | None:
+    """The union of frames that each carry a block of data in their code. If
+    there are several, each is written before the next is made, so the driver
+    never holds more than one block."""
+    written, last = [], None
+    for frame in frames:
+        if last is not None:
+            written.append(staged(last, name))
+        last = frame
+    if not written:
+        return last
+    return reduce(DataFrame.union, [*written, staged(last, name)])
+
+
 def single_threaded() -> None:
     """One task, one thread: keep numeric libraries from starting more."""
     for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS", "RAYON_NUM_THREADS"):

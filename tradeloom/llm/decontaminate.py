@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tradeloom.llm.common import col, text_of
+from tradeloom.llm.common import col, one_by_one, text_of
 
 SCHEMA = "doc_id bigint, item_id bigint, distance int, start int, end int"
 
@@ -144,18 +144,20 @@ def contaminated(
 
     At scale: the items go to the tasks in blocks of ``block_bytes``, cut by
     their running size, and each block is one pass over the documents; neither
-    is shuffled, and a task holds one batch of texts and one block.
+    is shuffled. The driver holds one block at a time, a task one batch of texts
+    and one block.
     """
     items = benchmark.select(
         col(item_id_col).cast("bigint").alias("item_id"), text_of(item_text_col).alias("text")
     ).filter("text <> ''")
     texts = docs.select(col(id_col).cast("bigint").alias("i"), text_of(text_col).alias("t"))
-    found = None
-    for block in blocks_of(items, block_bytes):
-        built = [Item(i, folded(t), error_budget(len(t), error_rate, least_piece)) for i, t in block]
-        hits = texts.mapInPandas(matcher(built), SCHEMA)
-        found = hits if found is None else found.union(hits)
-    return docs.sparkSession.createDataFrame([], SCHEMA) if found is None else found
+    passes = (
+        texts.mapInPandas(
+            matcher([Item(i, folded(t), error_budget(len(t), error_rate, least_piece)) for i, t in block]), SCHEMA
+        )
+        for block in blocks_of(items, block_bytes)
+    )
+    return one_by_one(passes, "benchmark-hits") or docs.sparkSession.createDataFrame([], SCHEMA)
 
 
 def blocks_of(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tradeloom.llm.common import col, single_threaded
+from tradeloom.llm.common import col, one_by_one, single_threaded
 from tradeloom.operators.stage import staged
 
 #: Shares of the lists that are read one after the other.
@@ -126,7 +126,7 @@ def top_k(
 
     At scale: queries are sent to the tasks in blocks of ``queries_at_once``
     (8,192 vectors of 64 components are 4 MB), each block a pass over all
-    vectors. A task keeps one block of ``block_rows`` vectors and the best ``k``
+    vectors; the driver holds one block at a time. A task keeps one block of ``block_rows`` vectors and the best ``k``
     of each query, and hands on only the latter.
     """
     spark = vectors.sparkSession
@@ -135,21 +135,20 @@ def top_k(
         whole_vectors(queries, id_col, vector_col, scale).distinct().repartitionByRange("id").sortWithinPartitions("id"), "queries"
     )
     sizes = asked.groupBy(F.size("v").alias("width")).count().collect()
-    found = None
-    for size in sizes:
-        same = asked.filter(F.size("v") == size.width)
-        blocks = -(-size["count"] // queries_at_once)
-        for number in range(blocks):
-            part = same if blocks == 1 else same.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number)
-            rows = part.collect()
-            if not rows or not size.width:
-                continue
-            ids = np.array([row.id for row in rows], np.int64)
-            values = np.array([row.v for row in rows], np.float64)
-            hits = whole.filter(F.size("v") == size.width).mapInPandas(
-                searcher(ids, values, k, block_rows), "query_id bigint, vec_id bigint, score bigint"
-            )
-            found = hits if found is None else found.union(hits)
+
+    def passes() -> Iterator[DataFrame]:
+        for size in sizes:
+            same = asked.filter(F.size("v") == size.width)
+            blocks = -(-size["count"] // queries_at_once)
+            for number in range(blocks if size.width else 0):
+                part = same if blocks == 1 else same.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number)
+                if rows := part.collect():
+                    ids, values = np.array([r.id for r in rows], np.int64), np.array([r.v for r in rows], np.float64)
+                    yield whole.filter(F.size("v") == size.width).mapInPandas(
+                        searcher(ids, values, k, block_rows), "query_id bigint, vec_id bigint, score bigint"
+                    )
+
+    found = one_by_one(passes(), "found-vectors")
     if found is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
