@@ -133,6 +133,27 @@ register(
     doubles("f_items", "price", "freight_value", "total_item_value"),
 )
 register("dim_customers", lambda m: m.dim_customers, doubles("d_customers", "lifetime_value"))
+
+
+def _written(m: Models, name: str) -> DataFrame:
+    """A model as it is read after its tables were written twice."""
+    root = f"{stage_folder(m.spark)}/lake-{uuid.uuid4().hex}"
+    for _ in range(2):
+        models = build.build_warehouse(m.spark, m.raw, root).models
+    return models[name]
+
+
+register(
+    "written_fct_orders",
+    lambda m: _written(m, "fct_orders").filter("purchase_year = 1997"),
+    doubles("f_orders", *ORDER_MONEY) + " WHERE purchase_year = 1997",
+)
+register("written_dim_customers", lambda m: _written(m, "dim_customers"), doubles("d_customers", "lifetime_value"))
+register(
+    "written_int_orders_enriched_view",
+    lambda m: (_written(m, "fct_orders"), m.spark.table("int_orders_enriched"))[1],
+    doubles("v_enriched", *ORDER_MONEY),
+)
 register(
     "dim_customers_own_bands",
     lambda m: marts.dim_customers(m.summary, high=HIGH_BAND, mid=MID_BAND),
