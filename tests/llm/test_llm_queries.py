@@ -141,11 +141,13 @@ def test_packed_documents_round_trip(spark, texts):
     assert len(windows) * 1024 - tokens < 8 * 1024
 
 
-def test_pipeline_stages(spark, texts):
-    """Each stage on its own input, held against brute force."""
+def test_pipeline_stages(spark, texts, monkeypatch):
+    """Each stage on its own input, held against brute force; the network is trained once."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    network = queries.toxicity_network(spark, FOLDER)
+    monkeypatch.setattr(corpus_pipeline, "toxicity_network", lambda *_: network)
     items = list(pd.read_parquet(f"{FOLDER}/benchmark.parquet")["text"])
-    scores = {r.doc_id: r.score for r in toxicity.score(docs, queries.toxicity_network(spark, FOLDER)).collect()}
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, network).collect()}
     inputs = texts
     for name, stage in corpus_pipeline.STAGES:
         rows = stage(spark, docs, FOLDER).collect()
