@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeloom.llm import decontaminate, jaccard, line_dedup, packing, toxicity
-from tradeloom.llm.common import id_key, table
+from tradeloom.llm.common import numbered, table
 from tradeloom.llm.queries import TOXIC, toxicity_network
 from tradeloom.operators.stage import stage_folder
 
@@ -33,15 +33,16 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest id stays."""
-    return jaccard.drop_near_duplicates(docs.select(*COLUMNS))
+    """Of each group of near duplicates one row stays, one of the smallest id."""
+    return jaccard.one_of_each_group(docs.select(*COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.select(id_key("doc_id").alias("__k")).distinct()
-    return docs.select(*COLUMNS, id_key("doc_id").alias("__k")).join(hit, "__k", "left_anti").select(*COLUMNS)
+    """Rows that hold a benchmark item go, whatever other rows have their id."""
+    rows = numbered(docs.select(*COLUMNS), "__row")
+    found = decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col="__row")
+    hit = found.select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(hit, "__row", "left_anti").select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,12 @@ def replaced(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *(value.alias(name) for name, value in columns.items()))
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows with a number of their own, written once, so that each read of
+    the frame gives a row the same number."""
+    return staged(df.withColumn(name, F.monotonically_increasing_id()), "numbered-rows")
+
+
 def one_by_one(frames: Iterable[DataFrame], name: str) -> DataFrame | None:
     """The union of frames that each carry a block of data in their code. If
     there are several, each is written before the next is made, so the driver

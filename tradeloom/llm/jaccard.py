@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tradeloom.llm.common import LAST_ID, id_key, single_threaded, text_of
+from tradeloom.llm.common import LAST_ID, id_key, numbered, single_threaded, text_of
 from tradeloom.llm.rolling import Substrings, mixed
 from tradeloom.operators.stage import staged
 
@@ -336,6 +336,11 @@ def near_duplicates(
     texts = docs.select(
         F.monotonically_increasing_id().alias("r"), id_key(id_col).alias("k"), text_of(text_col).alias("t")
     )
+    return grouped_rows(texts, threshold, tolerance).drop("r")
+
+
+def grouped_rows(texts: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """``near_duplicates`` of rows ``r, k, t`` (number, id key, text), with ``r``."""
     rows = staged(texts.mapInPandas(describe, DESCRIBED), "shingle-sets")
     same = ["sa", "sb", "n"]
     classes = staged(
@@ -368,6 +373,7 @@ def near_duplicates(
     )
     shown = lambda key: F.nullif(F.col(key), F.lit(LAST_ID)).alias(key)
     return rows.select("k", "r", *same).join(grouped, same).select(
+        "r",
         F.nullif(F.col("k"), F.lit(LAST_ID)).alias("doc_id"),
         shown("class_id"),
         "n_links",
@@ -378,8 +384,26 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents ``near_duplicates`` keeps, with all their columns; rows
-    that repeat a kept id stay with it."""
+    that repeat a kept id stay with it, and null ids are one id.
+    ``one_of_each_group`` decides row by row."""
     kept = near_duplicates(docs, id_col, text_col, **options).filter("keeps").select(id_key("doc_id").alias("__k"))
     return (
         docs.withColumn("__k", id_key(id_col)).join(kept.distinct().hint("shuffle_hash"), "__k", "left_semi").drop("__k")
     )
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """The one row of each group that ``near_duplicates`` marks, with all its
+    columns, whatever other rows have its id: copies under one id, and near
+    duplicates without an id, leave one row as well. The documents are written
+    once more, with a number for each row."""
+    rows = numbered(docs, "__row")
+    texts = rows.select(F.col("__row").alias("r"), id_key(id_col).alias("k"), text_of(text_col).alias("t"))
+    kept = grouped_rows(texts, threshold, tolerance).filter("keeps").select(F.col("r").alias("__row"))
+    return rows.join(kept.hint("shuffle_hash"), "__row", "left_semi").drop("__row")
