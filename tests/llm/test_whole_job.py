@@ -44,3 +44,15 @@ def test_one_row_of_each_group_stays(spark):
         [(False, 4, other[:20]), (True, 0, near[:20]), (False, 4, third[:20]), (False, 9, "")]
     )
     assert jaccard.one_of_each_group(documents(spark, rows).limit(0)).count() == 0
+
+
+# Folding keeps places ------------------------------------------------------------------
+
+
+def test_a_dotted_capital_does_not_stop_folding(spark):
+    assert all(len(decontaminate.folded(chr(c))) == 1 for c in range(sys.maxunicode + 1))
+    item = "a short benchmark item"
+    docs = documents(spark, [(1, f"İstanbul. {item.upper()}."), (2, "İstanbul")])
+    benchmark = spark.createDataFrame([(5, item), (6, "İSTANBUL")], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.distance, r.start, r.end) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert found == {(1, 5): (0, 10, 32), (1, 6): (0, 0, 8), (2, 6): (0, 0, 8)}

@@ -33,9 +33,9 @@ class Item:
 
 
 def folded(text: str) -> str:
-    """Lower case, if that keeps all places."""
-    low = text.lower()
-    return low if len(low) == len(text) else text
+    """Lower case with all places kept: U+0130, the one character whose lower
+    case is two, becomes ``i``."""
+    return text.replace("\u0130", "i").lower()
 
 
 def error_budget(length: int, error_rate: float, least_piece: int) -> int:
