@@ -8,7 +8,7 @@ import sys
 import pytest
 
 import corpus_pipeline
-from tradeloom.llm import decontaminate, jaccard
+from tradeloom.llm import decontaminate, jaccard, secrets
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -56,3 +56,33 @@ def test_a_dotted_capital_does_not_stop_folding(spark):
     benchmark = spark.createDataFrame([(5, item), (6, "İSTANBUL")], "item_id bigint, text string")
     found = {(r.doc_id, r.item_id): (r.distance, r.start, r.end) for r in decontaminate.contaminated(docs, benchmark).collect()}
     assert found == {(1, 5): (0, 10, 32), (1, 6): (0, 0, 8), (2, 6): (0, 0, 8)}
+
+
+# Secrets beside ordinary text ----------------------------------------------------------
+
+LETTERS = secrets.ALPHABET[:62]
+ORDINARY = "the international information station of nation services customer orders download total index".split()
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(1)
+    odd = [("".join(rng.choices(LETTERS, k=32)), True) for _ in range(300)]
+    plain = [(rng.choice("/_-=").join(rng.choices(ORDINARY, k=5)), False) for _ in range(300)]
+    return secrets.train(spark.createDataFrame(odd + plain, "token string, is_random boolean"))
+
+
+def test_secrets_within_ordinary_runs(spark, model):
+    rng = random.Random(2)
+    path = "/the/international/information/station/of/the/nation/"
+    keys = ["".join(rng.choices(LETTERS, k=32)) for _ in range(60)]
+    around = ["{}", path + "{}", path + "{}" + path, "index_total_customer_{}", "{}" + path + "{}", "0123456789abcdef" + path + "{}", "{}/token=abcdefghijkl"]
+    docs = [(n, around[n % len(around)].format(key, key)) for n, key in enumerate(keys)] + [(99, path * 3)]
+    rows = {r.doc_id: r for r in secrets.scan(documents(spark, docs), model).collect()}
+    missed = 0
+    for n, key in enumerate(keys):
+        spans = [(s.start, s.end) for s in rows[n].secrets if s.kind == "random"]
+        places = [i for i in range(len(docs[n][1])) if docs[n][1].startswith(key, i)]
+        missed += not all(any(s <= i and i + 32 <= e for s, e in spans) for i in places)
+    assert missed <= 2
+    assert not rows[99].secrets

@@ -24,6 +24,10 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WORD = r"[A-Za-z0-9+/_=-]{4,}"
 SPAN = "struct<start:int,end:int,part:string>"
+#: Within a candidate, words stand between runs of these; a stretch of words ends
+#: where its ratio above the least average has fallen by ``DROP`` nats.
+PIECE = r"[^/=_-]+|[/=_-]+"
+LEAST, DROP = 20, 5.0
 
 
 def matches_of(text: Column, pattern: str, group: int = 0) -> Column:
@@ -99,6 +103,73 @@ class MarkovModel:
         begin = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"))
         return F.aggregate(F.split(token, ""), begin, step, lambda done: done["sum"])
 
+    def stretches(self, token: Column, threshold: float, per_character: float) -> Column:
+        """``start, end`` of what looks random in a token: all of it, or else
+        the stretches of its words that do, the best of each neighbourhood."""
+        pieces = F.transform(
+            F.regexp_extract_all(token, F.lit(PIECE), F.lit(0)),
+            lambda p: F.struct(
+                F.length(p).alias("size"), self.score(p).alias("sum"), F.substring(p, 1, 1).isin(*"/=_-").alias("between")
+            ),
+        )
+        able = lambda size, sum_: (size >= LEAST) & (sum_ >= F.greatest(F.lit(threshold), size * per_character))
+        over = lambda size, sum_: sum_ - size * per_character
+
+        def closed(s: Column) -> Column:
+            span = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+            return F.when(s["end"] > 0, F.concat(s["found"], span)).otherwise(s["found"])
+
+        def state(at, start, sum_, end, best, peak, found) -> Column:
+            names = ("at", "start", "sum", "end", "best", "peak", "found")
+            return F.struct(*(v.alias(n) for n, v in zip(names, (at, start, sum_, end, best, peak, found))))
+
+        def step(s: Column, p: Column) -> Column:
+            before = over(s["at"] - s["start"], s["sum"])
+            whole = before + over(p["size"], p["sum"])
+            fresh = (before < 0) | (s["peak"] - before > DROP) | (
+                (s["end"] > 0) & able(p["size"], p["sum"]) & (whole <= s["best"])
+            )
+            at = s["at"] + p["size"]
+            begun = state(s["at"], s["at"], F.lit(0.0), F.lit(0), F.lit(0.0), F.lit(0.0), closed(s))
+
+            def grown(s: Column) -> Column:
+                sum_ = s["sum"] + p["sum"]
+                here = over(at - s["start"], sum_)
+                better = able(at - s["start"], sum_) & ((s["end"] == 0) | (here > s["best"]))
+                return state(
+                    at, s["start"], sum_, F.when(better, at).otherwise(s["end"]), F.when(better, here).otherwise(s["best"]),
+                    F.greatest(s["peak"], here), s["found"],
+                )
+
+            word = F.get(F.transform(F.array(F.when(fresh, begun).otherwise(s)), grown), F.lit(0))
+            passed = state(at, s["start"], s["sum"] + p["sum"], s["end"], s["best"], s["peak"], s["found"])
+            return F.when(p["between"], passed).otherwise(word)
+
+        none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+        begin = state(F.lit(0), F.lit(0), F.lit(0.0), F.lit(0), F.lit(0.0), F.lit(0.0), none)
+        whole = F.array(F.struct(F.lit(0).alias("start"), F.length(token).alias("end")))
+        return F.when(able(F.length(token), self.score(token)), whole).otherwise(
+            F.when(F.regexp_like(token, F.lit("[/=_-]")), F.aggregate(pieces, begin, step, closed)).otherwise(none)
+        )
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks for what the spans cover, all places kept."""
+
+    def step(done: Column, span: Column) -> Column:
+        at = F.greatest(done["at"], span["end"])
+        gap = F.substring(text, done["at"] + 1, F.greatest(span["start"] - done["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(span["end"] - F.greatest(done["at"], span["start"]), F.lit(0)))
+        return F.struct(at.alias("at"), F.concat(done["parts"], F.array(F.concat(gap, blank))).alias("parts"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    joined = F.aggregate(
+        ordered, begin, step,
+        lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["at"] + 1, F.length(text))),
+    )
+    return F.when(F.size(spans) > 0, joined).otherwise(text)
+
 
 def train(samples: DataFrame, token: str = "token", is_random: str = "is_random", smoothing: float = 20.0) -> MarkovModel:
     """Fit both models to labelled tokens.
@@ -169,7 +240,10 @@ def scan(
     of that name makes room. Kinds are the base kinds ``assign``, ``access``
     and ``hex``, and ``random``: a string of 20 characters or more, apart from
     the base spans, whose total log-likelihood ratio is at least ``threshold``
-    nats and ``per_character`` nats a character.
+    nats and ``per_character`` nats a character. If a whole run of characters
+    is not one, stretches of its parts between ``/ = - _`` are judged, each
+    part alone among them, so ordinary text about a secret does not hide it.
+    A base span cuts a run; what lies outside it is judged.
 
     Without ``model`` one is trained on at most ``sample_docs`` documents, those
     of the smallest ids (more only if ids repeat). Null and empty texts have no
@@ -178,20 +252,23 @@ def scan(
     """
     model = model or train(labelled_samples(docs, id_col, text_col, sample_docs))
     spans = with_base_spans(docs.withColumn("__text", text_of(text_col)), "__text")
-    text = F.col("__text")
-    total = model.score
-    looks_random = lambda token: total(token) >= F.greatest(F.lit(threshold), F.length(token) * per_character)
-    scored = spans.withColumn("__candidates", matches_of(text, CANDIDATE)).withColumn(
-        "__odd", F.transform("__candidates", looks_random)
-    )
-    flags = F.transform("__odd", lambda odd: F.when(odd, F.lit("y")))
-    placed = F.when(F.array_contains("__odd", True), located(text, CANDIDATE, F.col("__candidates"), flags))
     base = F.concat("__assign", "__access", "__hex")
-    added = F.filter(
+    apart = spans.withColumn("__apart", blanked(F.col("__text"), base))
+    scored = apart.withColumn("__candidates", matches_of(F.col("__apart"), CANDIDATE)).withColumn(
+        "__odd", F.transform("__candidates", lambda token: model.stretches(token, threshold, per_character))
+    )
+    placed = located(F.col("__apart"), CANDIDATE, F.col("__candidates"), F.col("__candidates"))
+    moved = F.zip_with(
         placed,
-        lambda span: span["part"].isNotNull()
-        & ~F.exists(base, lambda known: (known["start"] < span["end"]) & (span["start"] < known["end"])),
+        "__odd",
+        lambda run, odd: F.transform(
+            odd,
+            lambda s: F.struct(
+                (run["start"] + s["start"]).alias("start"), (run["start"] + s["end"]).alias("end"), F.lit("y").alias("part")
+            ),
+        ),
     )
+    added = F.when(F.exists("__odd", lambda odd: F.size(odd) > 0), F.flatten(moved))
     none = F.expr(f"cast(array() as array<{SPAN}>)")
     by_kind = (F.col("__assign"), F.col("__access"), F.col("__hex"), F.coalesce(added, none))
     ranked = [with_rank(found, rank) for rank, found in enumerate(by_kind)]
@@ -201,5 +278,5 @@ def scan(
         lambda s: F.struct(F.get(names, s["rank"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
     )
     return replaced(scored, secrets=ordered).drop(
-        "__text", "__candidates", "__odd", "__assign", "__access", "__hex"
+        "__text", "__apart", "__candidates", "__odd", "__assign", "__access", "__hex"
     )
