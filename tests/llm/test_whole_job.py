@@ -86,3 +86,12 @@ def test_secrets_within_ordinary_runs(spark, model):
         missed += not all(any(s <= i and i + 32 <= e for s, e in spans) for i in places)
     assert missed <= 2
     assert not rows[99].secrets
+
+
+def test_samples_leave_short_values_and_spread_over_ids(spark):
+    secret = "Xk29dLq0Wz7Rt5"
+    docs = documents(spark, [(n, "token: string password = required") for n in range(300)] + [(n, f"token={secret} word") for n in range(300, 600)])
+    rows = secrets.labelled_samples(docs, "doc_id", "text", 200).collect()
+    assert {r.token for r in rows if r.is_random} == {secret}
+    assert {r.token for r in rows if not r.is_random} == {"word"}
+    assert 60 <= sum(r.is_random for r in rows) <= 140

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradeloom.llm.common import col, id_key, replaced, text_of
+from tradeloom.llm.common import LAST_ID, col, id_key, replaced, text_of
 
 #: The base patterns, and how long a match (or its value) must be.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -206,16 +206,18 @@ def train(samples: DataFrame, token: str = "token", is_random: str = "is_random"
 
 def labelled_samples(docs: DataFrame, id_col: str, text_col: str, sample_docs: int) -> DataFrame:
     """``token, is_random`` from the ``sample_docs`` documents of the smallest
-    ids: what the base patterns matched is random, other words are ordinary."""
-    ids = docs.select(id_key(id_col).alias("k")).orderBy("k").limit(sample_docs)
+    hashes of ids, null ids last: what the base kinds hold is random (values of
+    ``ASSIGN_LEAST`` characters or more), other words are ordinary."""
+    key = F.when(col(id_col).isNull(), F.lit(LAST_ID)).otherwise(F.xxhash64(id_key(id_col)))
+    ids = docs.select(key.alias("k")).orderBy("k").limit(sample_docs)
     last = ids.agg(F.max("k").alias("last")).first()["last"]
-    texts = docs.filter(id_key(id_col) <= F.lit(-1 if last is None else last)).select(text_of(text_col).alias("t"))
+    texts = docs.filter(key <= F.lit(-1 if last is None else last)).select(text_of(text_col).alias("t"))
     t = F.col("t")
     random = F.concat(matches_of(t, ASSIGN, 2), matches_of(t, ACCESS), matches_of(t, HEX))
     ordinary = matches_of(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, ASSIGN, " "), ACCESS, " "), HEX, " "), WORD)
     return texts.select(F.explode(random).alias("token"), F.lit(True).alias("is_random")).union(
         texts.select(F.explode(ordinary), F.lit(False))
-    ).filter(F.length("token") >= 4)
+    ).filter(F.length("token") >= F.when(F.col("is_random"), ASSIGN_LEAST).otherwise(4))
 
 
 def with_rank(found: Column, rank: int) -> Column:
@@ -246,7 +248,7 @@ def scan(
     A base span cuts a run; what lies outside it is judged.
 
     Without ``model`` one is trained on at most ``sample_docs`` documents, those
-    of the smallest ids (more only if ids repeat). Null and empty texts have no
+    of the smallest hashes of ids (more only if ids repeat). Null and empty texts have no
     secrets; repeated rows are scanned alike; an empty table gives an empty
     table. No shuffle.
     """
