@@ -6,9 +6,10 @@ import random
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeloom.llm import decontaminate, jaccard, secrets
+from tradeloom.llm import decontaminate, jaccard, line_dedup, secrets
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -95,3 +96,10 @@ def test_samples_leave_short_values_and_spread_over_ids(spark):
     assert {r.token for r in rows if r.is_random} == {secret}
     assert {r.token for r in rows if not r.is_random} == {"word"}
     assert 60 <= sum(r.is_random for r in rows) <= 140
+
+
+def test_second_half_of_a_line_hash_is_not_made_of_the_first(spark):
+    lines = spark.createDataFrame([("a line",), ("another line",)], "line string")
+    key = F.col("line")
+    rows = lines.select(line_dedup.key_hash(key).alias("h"), F.xxhash64(key, F.lit(1)).alias("chained")).collect()
+    assert all(r.h.b not in (r.h.a, r.chained) for r in rows)

@@ -26,8 +26,10 @@ def line_key(line: Column) -> Column:
 
 
 def key_hash(key: Column) -> Column:
-    """128 bits, so that hashes of different lines stay apart at any size."""
-    return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(key, F.lit(1)).alias("b"))
+    """128 bits, so that hashes of different lines stay apart at any size. A hash
+    is the seed of the next argument's, so the literal stands first: behind the
+    key it would give a function of the first half."""
+    return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b"))
 
 
 class Runs:
