@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import decontaminate, jaccard, line_dedup, packing, secrets, sharding, suffix_dedup, topk, toxicity, url_rules
+from tradeloom.llm import bpe, decontaminate, jaccard, line_dedup, packing, secrets, sharding, suffix_dedup, topk, toxicity, url_rules
 from tradeloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,16 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"))
+    return bpe.decode(encoded).select(
+        "doc_id",
+        "n_tokens",
+        sha256(bpe.ids_text(F.col("ids"))).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -118,6 +128,7 @@ QUERIES: dict[str, Query] = {
         op8_sum_of_squares_packing,
         op9_line_dedup,
         op10_exact_top_k,
+        op12_byte_bpe,
     )
 }
 
