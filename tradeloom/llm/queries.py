@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import bpe, decontaminate, jaccard, line_dedup, packing, secrets, sharding, suffix_dedup, topk, toxicity, url_rules
+from tradeloom.llm import bpe, decontaminate, jaccard, line_dedup, merkle, packing, secrets, sharding, suffix_dedup, topk, toxicity, url_rules
 from tradeloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,13 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    n_chars = F.when(tampered, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
+    made = merkle.manifest(table(spark, folder, "documents"), presented={"n_chars": n_chars})
+    return merkle.proofs(made).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -129,9 +136,19 @@ QUERIES: dict[str, Query] = {
         op9_line_dedup,
         op10_exact_top_k,
         op12_byte_bpe,
+        op13_merkle_manifest,
     )
 }
 
+#: Unsigned CRC-32 of the decimal text of a whole number, bit by bit.
+CRC32 = """
+    xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split(({0})::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, byte: list_reduce(
+            list_concat([xor(crc, byte)], range(8)),
+            lambda bits, step: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384) ELSE bits >> 1 END)))
+"""
+
 ORACLE: dict[str, str] = {
     "op4_url_filter": """
         WITH cut AS (
@@ -187,4 +204,61 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, lang, n_chars + (({CRC32.format('doc_id')}) % 7 = 0)::BIGINT AS presented_chars,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') ||
+                   coalesce(strlen(source) || ':' || source, '-') ||
+                   coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars,
+                   coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, lang, sha256(head || chars || tail) AS leaf,
+                   sha256(head || coalesce(strlen(presented_chars::VARCHAR) || ':' || presented_chars, '-') || tail)
+                       AS presented,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place,
+                   count(*) OVER (PARTITION BY lang) AS n
+            FROM texts
+        ), nodes AS (
+            SELECT lang, 0 AS level, place, n, leaf AS digest FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+            FROM nodes WHERE n > 1 GROUP BY lang, level, n, place // 2
+        ), subroots AS (
+            SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+            FROM nodes WHERE n = 1
+        ), upper AS (
+            SELECT 0 AS level, place, n, subroot AS digest FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+            FROM upper WHERE n > 1 GROUP BY level, n, place // 2
+        ), steps AS (
+            SELECT doc_id, own.level, (own.place & 1) = 1 AS is_left, coalesce(other.digest, '') AS digest
+            FROM leaves JOIN nodes own ON own.lang IS NOT DISTINCT FROM leaves.lang
+                 AND own.place = leaves.place >> own.level AND own.n > 1
+            LEFT JOIN nodes other ON other.lang IS NOT DISTINCT FROM own.lang
+                 AND other.level = own.level AND other.place = xor(own.place, 1)
+            UNION ALL
+            SELECT doc_id, 100 + own.level, (own.place & 1) = 1, coalesce(other.digest, '')
+            FROM leaves JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang
+            JOIN upper own ON own.place = subroots.place >> own.level AND own.n > 1
+            LEFT JOIN upper other ON other.level = own.level AND other.place = xor(own.place, 1)
+        ), paths AS (
+            SELECT doc_id, list({{'digest': digest, 'is_left': is_left}} ORDER BY level) AS path,
+                   string_agg(digest, '' ORDER BY level) AS joined
+            FROM steps GROUP BY doc_id
+        ), proven AS (
+            SELECT doc_id, leaf, subroot, (SELECT digest FROM upper WHERE n = 1) AS root,
+                   sha256(coalesce(joined, '')) AS proof_sha256,
+                   list_reduce(
+                       list_concat([{{'digest': presented, 'is_left': false}}], coalesce(path, [])),
+                       lambda below, step: {{'digest': sha256(CASE WHEN step.is_left THEN step.digest || below.digest
+                                                                 ELSE below.digest || step.digest END),
+                                            'is_left': false}}).digest AS folded_root
+            FROM leaves LEFT JOIN paths USING (doc_id)
+            JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang
+        )
+        SELECT *, folded_root = root AS verified FROM proven
+    """,
 }
