@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import bpe, decontaminate, jaccard, line_dedup, merkle, packing, secrets, sharding, suffix_dedup, topk, toxicity, url_rules
+from tradeloom.llm import bpe, decontaminate, jaccard, line_dedup, merkle, packing, secrets, sharding, suffix_dedup, topk, toxicity, trie, url_rules
 from tradeloom.llm.common import table
+from tradeloom.operators.stage import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,9 @@ URL_RULES = (
 )
 
 
+#: First turns a conversation takes over at most.
+MOST_TAKEN = 8
+
 #: Scores from here on count as toxic.
 TOXIC = 0.3
 
@@ -105,6 +109,24 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def rebuilt_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Each conversation behind first turns of its block's first conversation:
+    as many as a hash of its id says, and its own turns after as many."""
+    own = staged(trie.conversations(table(spark, folder, "conversations")), "conversations")
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    first = own.filter(F.col("conv_id") % 5 == 0).select(
+        F.col("conv_id").alias("base"), F.slice("turns", 1, MOST_TAKEN).alias("first")
+    )
+    taken = (F.crc32(F.col("conv_id").cast("string")) % (MOST_TAKEN + 1)).cast("int")
+    lead = F.coalesce(F.slice("first", 1, taken), F.array().cast(f"array<{trie.TURN}>"))
+    rest = F.slice("turns", taken + 1, F.size("turns"))
+    return own.withColumn("base", base).join(first, "base", "left").select("conv_id", F.concat(lead, rest).alias("turns"))
+
+
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(rebuilt_conversations(spark, folder))
+
+
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"))
     return bpe.decode(encoded).select(
@@ -135,6 +157,7 @@ QUERIES: dict[str, Query] = {
         op8_sum_of_squares_packing,
         op9_line_dedup,
         op10_exact_top_k,
+        op11_conversation_trie,
         op12_byte_bpe,
         op13_merkle_manifest,
     )
@@ -204,6 +227,39 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_conversation_trie": f"""
+        WITH own AS (
+            SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), hashed AS (
+            SELECT *, ({CRC32.format('conv_id')}) % 9 AS h FROM own
+        ), rebuilt AS (
+            SELECT hashed.conv_id,
+                   coalesce(list_slice(base.turns, 1, h), []) || list_slice(hashed.turns, h + 1, len(hashed.turns)) AS turns
+            FROM hashed LEFT JOIN own base ON base.conv_id = hashed.conv_id - hashed.conv_id % 5
+        ), prefixes AS (
+            SELECT conv_id, unnest(range(len(turns) + 1)) AS depth, turns FROM rebuilt
+        ), nodes AS (
+            SELECT list_slice(turns, 1, depth) AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(turns)), ''))
+                       AS ends_sha256,
+                   CASE WHEN depth = 0 THEN 0 ELSE strlen(list_slice(turns, 1, depth)[depth].text) END AS bytes
+            FROM prefixes GROUP BY ALL
+        ), linked AS (
+            SELECT child.*, parent.conv_id AS parent_conv_id,
+                   (SELECT count(*) FROM nodes c WHERE c.depth = child.depth + 1
+                        AND list_slice(c.prefix, 1, child.depth) = child.prefix) AS n_children
+            FROM nodes child LEFT JOIN nodes parent
+                ON parent.depth = child.depth - 1 AND parent.prefix = list_slice(child.prefix, 1, child.depth - 1)
+        ), below AS (
+            SELECT list_slice(prefix, 1, up) AS prefix, (n_children = 0)::BIGINT AS leaf, (n_convs - 1) * bytes AS saved
+            FROM (SELECT *, unnest(range(depth + 1)) AS up FROM linked)
+        ), sums AS (
+            SELECT prefix, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM below GROUP BY prefix
+        )
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM linked JOIN sums USING (prefix)
+    """,
     "op13_merkle_manifest": f"""
         WITH RECURSIVE texts AS (
             SELECT doc_id, lang, n_chars + (({CRC32.format('doc_id')}) % 7 = 0)::BIGINT AS presented_chars,
