@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 
 import shop
+from tradeloom.operators.lookup import HotKeys
 from tradeloom.plans import build, intermediate, marts
 
 
@@ -78,9 +79,14 @@ def test_delivery(enriched):
     assert enriched["o8"].days_vs_estimate == 2
 
 
-def test_hot_keys_do_not_change_rows(models, enriched):
-    for hot in (["o1", "o3"], [], ["o2", None]):
-        rows = build.enriched_orders(models, hot).collect()
+def hot(spark, ids) -> HotKeys:
+    frame = spark.createDataFrame([(i, n + 1) for n, i in enumerate(ids)], "order_id string, salts bigint")
+    return HotKeys(frame, 100 * len(ids))
+
+
+def test_hot_keys_do_not_change_rows(spark, models, enriched):
+    for ids in (["o1", "o3"], [], ["o2"]):
+        rows = build.enriched_orders(models, hot(spark, ids)).collect()
         assert {row.order_id: row for row in rows} == enriched
 
 
@@ -90,7 +96,7 @@ def test_rows_without_a_key_survive_the_hot_path(spark, models):
     )
     parts = [models[name] for name in ("stg_order_payments", "stg_order_reviews", "stg_order_items")]
     plain = intermediate.int_orders_enriched(orders, *parts).collect()
-    split = intermediate.int_orders_enriched(orders, *parts, hot_order_ids=["o1"]).collect()
+    split = intermediate.int_orders_enriched(orders, *parts, hot_order_ids=hot(spark, ["o1"])).collect()
     assert sorted(map(str, plain)) == sorted(map(str, split))
     assert len(split) == 9
 

@@ -51,10 +51,14 @@ def test_hot_keys(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")
     )
-    assert hot_keys(df, "k", share=0.05) == [-1]
-    assert hot_keys(spark.range(30_000), "id", share=0.05) == []
-    assert hot_keys(spark.range(0), "id") == []
-    assert hot_keys(spark.sql("SELECT CAST(NULL AS STRING) AS k FROM range(9)"), "k") == []
+    (row,) = hot_keys(df, "k", share=0.05).frame.collect()
+    assert row.k == -1 and row.salts == 1  # a third of the rows, at 8 partitions
+    (row,) = hot_keys(df, "k", share=0.05, partitions=0.1).frame.collect()
+    assert row.salts == 27
+    nulls = spark.sql("SELECT CAST(NULL AS STRING) AS k FROM range(9)")
+    for none, key in ((spark.range(30_000), "id"), (spark.range(0), "id"), (nulls, "k")):
+        found = hot_keys(none, key, share=0.05)
+        assert found.frame.collect() == [] and found.bytes == 0
 
 
 def test_top_k_ties_and_nulls(spark):

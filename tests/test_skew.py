@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tradeloom.operators.lookup import hot_keys, lookup_join
+from tradeloom.operators.lookup import BROADCAST_BYTES, HotKeys, hot_keys, left_join_per_key, lookup_join
 from tradeloom.plans import intermediate, marts
 
 ROWS = 120_000
@@ -173,7 +173,7 @@ def test_hot_order_ids_leave_the_shuffle(skewed, orders, enriched):
         F.when(F.col("order_id") % 3 == 0, 5).when(F.col("order_id") % 10 > 1, F.col("order_id")),
     )
     found = hot_keys(broken, "order_id")
-    assert found == [5]
+    assert [row.order_id for row in found.frame.collect()] == [5]
     paid = skewed.range(0, 1000).selectExpr(
         "id AS order_id",
         "'a' AS payment_type",
@@ -196,7 +196,45 @@ def test_hot_order_ids_leave_the_shuffle(skewed, orders, enriched):
     split = intermediate.int_orders_enriched(broken, paid, reviews, items, found).agg(*sums)
     assert plain.first() == split.first()
     assert split.first()[0] == ROWS
-    assert "BroadcastHashJoin" in split._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_hot_key_are_dealt_out(skewed):
+    """Each part of a hot key holds its share of the rows."""
+    rows = skewed.range(0, ROWS, 1, 4).select(hot("id", 5).alias("k"), F.col("id").alias("n"))
+    found = hot_keys(rows, "k", partitions=0.25)
+    (row,) = found.frame.collect()
+    assert row.k == 5 and row.salts >= 10
+    right = skewed.range(0, 100).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    joined = left_join_per_key(rows, [right], "k", found)
+    assert joined.count() == ROWS
+    assert joined.filter("v = 'v'").count() == rows.filter("k < 100").count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" in plan and "_salt#" in plan
+
+
+def test_plan_at_a_width_of_a_million(spark, orders):
+    """The width of 100 TB: the sketch stays within its limit, the table of hot
+    keys is no literal, and only a measured size is broadcast."""
+    rows = orders.withColumn("order_id", F.when(F.col("order_id") % 3 == 0, 5).otherwise(F.col("order_id")))
+    empty = spark.range(0)
+    payments = empty.selectExpr("id AS order_id", "'a' AS payment_type", "1 AS payment_installments", "1.0BD AS payment_value")
+    reviews = empty.selectExpr("id AS order_id", "id AS review_id", "1 AS review_score", "'' AS comment_message", "id AS review_created_at")
+    items = empty.selectExpr("id AS order_id", "1.0BD AS price", "1.0BD AS freight_value")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1000000")
+        found = hot_keys(rows, "order_id")
+        plan = intermediate.int_orders_enriched(rows, payments, reviews, items, found)._jdf.queryExecution()
+        text = plan.executedPlan().toString()
+        unbounded = left_join_per_key(rows, [items.groupBy("order_id").count()], "order_id", HotKeys(found.frame, 2**40))
+        assert "ResolvedHint (strategy=broadcast)" not in unbounded._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 0 < found.bytes < BROADCAST_BYTES
+    salts = {row.order_id: row.salts for row in found.frame.collect()}
+    assert salts[5] > 50_000 and sum(salts.values()) < 1_000_000
+    assert " IN (" not in text and "INSET" not in text and "_salt" in text
 
 
 def test_many_warm_keys_are_found_at_a_wide_shuffle(spark):
@@ -205,6 +243,7 @@ def test_many_warm_keys_are_found_at_a_wide_shuffle(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "8000")
-        assert set(hot_keys(rows, "k")) == set(range(0, 500, 2))
+        found = hot_keys(rows, "k")
+        assert {row.k for row in found.frame.collect()} == set(range(0, 500, 2))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

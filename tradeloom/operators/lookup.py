@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from tradeloom.operators.stage import staged
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 _VALUE_BYTES = 16
@@ -38,75 +42,116 @@ def lookup_join(
     return left.join(right, on, "left")
 
 
-def frequent_keys(
-    df: DataFrame, key: str, most: int, tracked: int = 4096
-) -> tuple[list[tuple], int]:
-    """Up to ``most`` frequent values of ``key`` with estimated counts, and the
-    row count.
+#: Items a sketch can track, and of those the values it is asked for.
+MOST_TRACKED, MOST_HOT = 1_000_000, 200_000
+LANES = 64
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """A table of hot key values, each with ``salts``, the parts its rows are
+    dealt into, and the measured size of that table."""
+
+    frame: DataFrame
+    bytes: int
+
+    def side(self) -> DataFrame:
+        """The table for a join: a copy for every task if it is small enough."""
+        return F.broadcast(self.frame) if self.bytes <= BROADCAST_BYTES else self.frame
+
+
+@contextmanager
+def shuffle_width(spark: SparkSession, width: int) -> Iterator[None]:
+    """Jobs planned inside shuffle into ``width`` partitions: a job with a few
+    rows a task needs no partitions by the thousand."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(width))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def frequent_keys(df: DataFrame, key: str, most: int, tracked: int = 4096) -> DataFrame:
+    """``key, count, rows``: up to ``most`` frequent values with estimated
+    counts, and the rows of ``df``. Values may be null; the table is written.
 
     One scan of one column. Each task keeps a sketch of ``tracked`` values;
     sketches merge in lanes first, so that no task merges those of all others.
     """
-    if df.select(key).isEmpty():
-        return [], 0
     lanes = (
-        df.select(key, (F.spark_partition_id() % 64).alias("_lane"))
+        df.select(key, (F.spark_partition_id() % LANES).alias("_lane"))
         .groupBy("_lane")
         .agg(
             F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"),
             F.count("*").alias("rows"),
         )
     )
-    merged = lanes.agg(
+    merged = lanes.groupBy((F.col("_lane") < 0).alias("_none")).agg(
         F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
         F.sum("rows").alias("rows"),
     )
-    found = merged.select(
-        F.expr(f"approx_top_k_estimate(sketch, {most})").alias("top"), "rows"
-    ).first()
-    return [(item["item"], item["count"]) for item in found["top"]], found["rows"]
+    found = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"), "rows")
+    with shuffle_width(df.sparkSession, LANES):
+        return staged(found.select(F.col("top.item").alias(key), "top.count", "rows"), "frequent-keys")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.005, partitions: float = 4) -> list:
+def hot_keys(df: DataFrame, key: str, share: float = 0.005, partitions: float = 4) -> HotKeys:
     """Values of ``key`` that may hold at least ``share`` of the rows, or as many
     as ``partitions`` mean partitions of a shuffle, whichever is less.
 
     So the largest key left in a shuffle is a few times the mean partition at
-    any width. At most ``1 / share`` or ``width / partitions`` values, and the
-    sketch grows with that number. The list only routes rows: results are the
-    same whatever it holds, so estimates will do.
+    any width up to 800,000; beyond it the sketch reaches its limit, and the
+    200,000 most frequent values are looked at. The table only routes rows:
+    results are the same whatever it holds, so estimates will do.
     """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = min(share, partitions / width)
-    most = int(1 / share)
-    found, rows = frequent_keys(df, key, most, tracked=max(4096, 8 * most))
-    least = max(2, share * rows)
-    return [value for value, count in found if value is not None and count >= least]
+    most = min(int(1 / share), MOST_HOT)
+    found = frequent_keys(df, key, most, tracked=min(max(4096, 8 * most), MOST_TRACKED))
+    least = F.greatest(F.lit(2), F.col("rows") * share)
+    salts = F.ceil(F.col("count") * width / (F.col("rows") * partitions))
+    hot = found.filter(F.col(key).isNotNull() & (F.col("count") >= least)).select(key, salts.alias("salts"))
+    return HotKeys(hot, measured_bytes(hot))
 
 
 def left_join_per_key(
     left: DataFrame,
     rights: Sequence[DataFrame],
     on: str,
-    hot: Sequence | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left-join several frames that each hold at most one row per ``on``.
 
     AQE cannot split a hot key here because the right sides are aggregates. If
-    ``hot`` is given, rows with those keys, and rows without a key, stay where
-    they are: the few right rows they need (one per hot key) go to them.
+    ``hot`` is given, rows without a key take no part in the join, and rows with
+    a hot key are dealt by key and a salt: each of the key's few right rows, one
+    a frame, is copied to all of its salts. The copies are as many as the
+    shuffle has partitions, not as the data has rows.
     """
     if hot is None:
-        return _join_all(left, rights, on)
-    named = F.col(on).isin([value for value in hot if value is not None])
-    is_hot = F.col(on).isNull() | named
-    few = [F.broadcast(right.filter(named)) for right in rights]
-    return _join_all(left.filter(~is_hot), rights, on).unionByName(
-        _join_all(left.filter(is_hot), few, on)
+        return _join_all(left, rights, [on])
+    known, unknown = left.filter(F.col(on).isNotNull()), left.filter(F.col(on).isNull())
+    if not hot.bytes:
+        return _join_all(known, rights, [on]).unionByName(unknown, allowMissingColumns=True)
+    marked = known.join(hot.side().withColumnRenamed("salts", "_salts"), on, "left")
+    cold = _join_all(marked.filter("_salts IS NULL"), rights, [on])
+    dealt = marked.filter("_salts IS NOT NULL").withColumn("_salt", F.monotonically_increasing_id() % F.col("_salts"))
+    copies = [
+        right.join(hot.side(), on)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
+        .drop("salts")
+        for right in rights
+    ]
+    return (
+        cold.unionByName(_join_all(dealt, copies, [on, "_salt"]).drop("_salt"))
+        .drop("_salts")
+        .unionByName(unknown, allowMissingColumns=True)
     )
 
 
-def _join_all(left: DataFrame, rights: Sequence[DataFrame], on: str) -> DataFrame:
+def _join_all(left: DataFrame, rights: Sequence[DataFrame], on: list[str]) -> DataFrame:
     for right in rights:
         left = left.join(right, on, "left")
     return left

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.lazy import Frames
-from tradeloom.operators.lookup import hot_keys
+from tradeloom.operators.lookup import HotKeys, hot_keys
 from tradeloom.operators.stage import staged
 from tradeloom.plans import intermediate, marts, quality, staging
 from tradeloom.sources.catalog import ANALYTICS, RAW, SOURCES
@@ -58,7 +58,7 @@ def staging_models(raw: Mapping[str, DataFrame]) -> Frames:
 
 
 def enriched_orders(
-    models: Mapping[str, DataFrame], hot_order_ids: Sequence | None = None
+    models: Mapping[str, DataFrame], hot_order_ids: HotKeys | None = None
 ) -> DataFrame:
     return intermediate.int_orders_enriched(
         models["stg_orders"],

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from tradeloom.functions.measures import LATE, delivery_status, distinct_list, is_true, ratio
 from tradeloom.functions.timestamps import day_diff
 from tradeloom.operators.latest import latest_by, newest
-from tradeloom.operators.lookup import left_join_per_key
+from tradeloom.operators.lookup import HotKeys, left_join_per_key
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
@@ -43,7 +41,7 @@ def int_orders_enriched(
     payments: DataFrame,
     reviews: DataFrame,
     items: DataFrame,
-    hot_order_ids: Sequence | None = None,
+    hot_order_ids: HotKeys | None = None,
 ) -> DataFrame:
     """One row per order. Payments, reviews and items shrink to one row per
     order before they meet, all on the same key, so nothing multiplies and each

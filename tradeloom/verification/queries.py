@@ -19,7 +19,7 @@ from tradeloom.functions.measures import (
 )
 from tradeloom.functions.timestamps import day_diff, safe_timestamp
 from tradeloom.lazy import Frames
-from tradeloom.operators.lookup import frequent_keys, hot_keys, lookup_join
+from tradeloom.operators.lookup import HotKeys, frequent_keys, hot_keys, lookup_join, measured_bytes
 from tradeloom.operators.ranking import top_k
 from tradeloom.operators.stage import stage_folder, staged
 from tradeloom.plans import build, intermediate, marts, quality, reports
@@ -169,8 +169,9 @@ register(
 
 def _enriched_hot(m: Models) -> DataFrame:
     """Order keys that hold the most line items take the hot path."""
-    found, _ = frequent_keys(m.staging["stg_order_items"], "order_id", most=100)
-    return build.enriched_orders(m.staging, [value for value, _ in found])
+    found = frequent_keys(m.staging["stg_order_items"], "order_id", most=100)
+    hot = found.select("order_id", F.lit(3).cast("bigint").alias("salts"))
+    return build.enriched_orders(m.staging, HotKeys(hot, measured_bytes(hot)))
 
 
 register("int_orders_enriched_hot_keys", _enriched_hot, doubles("v_enriched", *ORDER_MONEY))
