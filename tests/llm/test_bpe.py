@@ -19,7 +19,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return bpe.vocabulary(bpe.NAME, None)
+    return bpe.Vocabulary(bpe.read_ranks(bpe.NAME, None))
 
 
 @pytest.fixture(scope="module")
