@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import repeat
 from typing import Iterator as Batches
 
 import numpy as np
@@ -78,7 +79,6 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         splits = [
             (ranks[token[:i]], ranks[token[i:]], rank)
@@ -88,11 +88,6 @@ class Vocabulary:
         ]
         self.pairs = Pairs(*np.array(splits, np.int64).reshape(-1, 3).T)
 
-    @classmethod
-    def read(cls, path: str) -> Vocabulary:
-        with open(path, "rb") as file:
-            return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)})
-
     def matrix(self, pieces: list[bytes]) -> np.ndarray:
         """The pieces' bytes as ids, a padded row for each."""
         sizes = np.array([len(p) for p in pieces])
@@ -232,13 +227,16 @@ class Encoder:
         """Ids of the pieces one after another, and how many each has."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if new:
+        known = self.known
+        piece = np.fromiter(map(known.get, pieces, repeat(PAD)), np.int64, len(pieces))
+        missing = np.flatnonzero(piece == PAD).tolist()
+        if missing:
+            new = list(dict.fromkeys(pieces[n] for n in missing))
             ids, sizes = self.vocabulary.encoded([p.encode() for p in new])
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            piece[missing] = [known[pieces[n]] for n in missing]
             self.ids = np.concatenate([self.ids, ids])
             self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
-        piece = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
         first, size = self.ends[piece], self.ends[piece + 1] - self.ends[piece]
         return ranges(self.ids, first, size), size
 
@@ -266,10 +264,11 @@ class Encoder:
         return np.concatenate(found), sizes
 
 
-def vocabulary(name: str, folder: str | None) -> Vocabulary:
+def read_ranks(name: str, folder: str | None) -> dict[bytes, int]:
     import public_tokenizers
 
-    return Vocabulary.read(f"{folder}/{name}.tiktoken" if folder else public_tokenizers.path(f"{name}.tiktoken"))
+    with open(f"{folder}/{name}.tiktoken" if folder else public_tokenizers.path(f"{name}.tiktoken"), "rb") as file:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
 def encode(docs: DataFrame, text_col: str = "text", name: str = NAME, folder: str | None = None) -> DataFrame:
@@ -292,10 +291,14 @@ def encode(docs: DataFrame, text_col: str = "text", name: str = NAME, folder: st
         import regex
 
         single_threaded()
-        encoder = Encoder(vocabulary(name, folder), regex.compile(public_tokenizers.PATTERN))
+        encoder = Encoder(Vocabulary(read_ranks(name, folder)), regex.compile(public_tokenizers.PATTERN))
         for batch in batches:
-            ids, sizes = encoder(batch.to_pylist())
-            yield pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(ids, pa.int32()))
+            # Each different text of a batch is encoded once.
+            places: dict[str, int] = {}
+            own = [places.setdefault(text, len(places)) for text in batch.to_pylist()]
+            ids, sizes = encoder(list(places))
+            ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+            yield pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32())).take(pa.array(own, pa.int32()))
 
     ids = F.arrow_udf(run, "array<int>")(text_of(text_col))
     return replaced(replaced(docs, ids=ids), n_tokens=F.size("ids").cast("bigint"))
@@ -309,16 +312,19 @@ def decode(docs: DataFrame, ids_col: str = "ids", name: str = NAME, folder: str
     """
 
     def run(batches: Batches[pa.Array]) -> Batches[pa.Array]:
-        token = vocabulary(name, folder).tokens.__getitem__
+        single_threaded()
+        tokens = {rank: token for token, rank in read_ranks(name, folder).items()}
         for batch in batches:
-            yield pa.array([joined(token, row.as_py()) for row in batch], pa.binary())
+            yield pa.array((joined(tokens, row) for row in batch), pa.binary())
 
     return replaced(docs, decoded=F.arrow_udf(run, "binary")(col(ids_col)))
 
 
-def joined(token, ids: list[int] | None) -> bytes | None:
+def joined(tokens: dict[int, bytes], row: pa.ListScalar) -> bytes | None:
+    if not row.is_valid or row.values.null_count:
+        return None
     try:
-        return None if ids is None else b"".join(map(token, ids))
+        return b"".join(map(tokens.__getitem__, row.values.to_numpy().tolist()))
     except KeyError:
         return None
 
