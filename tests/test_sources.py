@@ -17,7 +17,8 @@ from tradeloom.sources.csv_records import (
     read_lines,
     write_records,
 )
-from tradeloom.sources.tables import load_all, load_summary, replace_table
+from tradeloom.sources import tables
+from tradeloom.sources.tables import expire_versions, load_all, load_summary, replace_table
 
 ITEMS = SOURCES["order_items"]
 HEADER = ",".join(ITEMS.columns)
@@ -301,3 +302,64 @@ def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
     assert sorted(row.id for row in spark.table("switched.t").collect()) == [0, 1, 2]
     replace_table(good.select("id"), "switched", "t", str(tmp_path))
     assert spark.table("switched.t").columns == ["id"]
+
+
+def versions(spark, database):
+    return {t.name for t in spark.catalog.listTables(f"{database}_versions")}
+
+
+def test_a_frame_planned_before_a_refresh_can_be_read_after_it(spark, tmp_path):
+    first = spark.range(0, 1000, 1, 4).selectExpr("id", "id % 3 AS year")
+    old = replace_table(first, "refreshed", "t", str(tmp_path), partition_by="year")
+    planned = old.filter("year = 1")
+    planned._jdf.queryExecution().executedPlan()
+    replace_table(first.filter("id < 10"), "refreshed", "t", str(tmp_path), partition_by="year")
+    assert planned.count() == 333 and spark.table("refreshed.t").count() == 10
+    assert len(versions(spark, "refreshed")) == 2
+    # Once its time is over the replaced version goes, and only that.
+    assert len(expire_versions(spark, "refreshed", "t", f"{tmp_path}/refreshed/t", keep_seconds=0)) == 1
+    assert len(versions(spark, "refreshed")) == 1 == len(list((tmp_path / "refreshed" / "t").iterdir()))
+    assert spark.table("refreshed.t").count() == 10
+
+
+@pytest.mark.parametrize("step", ["switch", "expire_versions"])
+def test_a_refresh_that_stops_halfway(spark, tmp_path, monkeypatch, step):
+    database = f"halfway_{step}"
+    replace_table(spark.range(5), database, "t", str(tmp_path), comment="a 'quoted' one")
+
+    def stops(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, step, stops)
+        with pytest.raises(RuntimeError):
+            replace_table(spark.range(9), database, "t", str(tmp_path))
+    assert spark.table(f"{database}.t").count() == (5 if step == "switch" else 9)
+    replace_table(spark.range(7), database, "t", str(tmp_path), keep_seconds=0)
+    assert spark.table(f"{database}.t").count() == 7
+    assert len(versions(spark, database)) == 1 == len(list((tmp_path / database / "t").iterdir()))
+
+
+def test_versions_below_another_root_go_too(spark, tmp_path):
+    for root in ("a", "b"):
+        replace_table(spark.range(5), "moved", "t", str(tmp_path / root), keep_seconds=0)
+    assert list((tmp_path / "a" / "moved" / "t").iterdir()) == []
+    assert spark.table("moved.t").count() == 5
+
+
+def test_a_failed_write_is_cleared_later(spark, tmp_path):
+    replace_table(spark.range(5), "cleared", "t", str(tmp_path))
+    failing = spark.range(5).selectExpr("raise_error('no') AS id")
+    with pytest.raises(Exception, match="no"):
+        replace_table(failing, "cleared", "t", str(tmp_path))
+    base = f"{tmp_path}/cleared/t"
+    (tmp_path / "cleared" / "t" / "t_v1000_0123abcd").mkdir()  # left by a write of long ago
+    assert expire_versions(spark, "cleared", "t", base) == ["t_v1000_0123abcd"]
+    assert spark.table("cleared.t").count() == 5
+
+
+def test_a_plain_table_of_the_name_makes_room(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS plain_before")
+    spark.range(3).write.mode("overwrite").saveAsTable("plain_before.t")
+    replace_table(spark.range(4), "plain_before", "t", str(tmp_path))
+    assert spark.table("plain_before.t").count() == 4

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -14,6 +16,10 @@ from tradeloom.sources.catalog import MONEY, RAW, SOURCES, SourceSpec
 from tradeloom.sources.csv_files import MissingSource, read_source, source_path
 
 
+#: Seconds for which a replaced version of a table can still be read.
+KEEP_SECONDS = 24 * 3600
+
+
 @dataclass
 class LoadResult:
     """Rows per loaded table, and the tables whose file was missing."""
@@ -33,38 +39,93 @@ def replace_table(
     root: str | None = None,
     partition_by: str | None = None,
     comment: str | None = None,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> DataFrame:
     """Replace a Parquet table with ``df`` and return the table.
 
-    The rows go to a new folder below ``root/database/table`` (without ``root``
-    below the session's warehouse). The table is switched to it when all rows
-    are written, and the folder it had before is removed; until then, and if
-    the write fails, the old rows can be read.
+    The rows are written as a new version, a table of its own in the database
+    ``<database>_versions`` and a folder of its own below ``root/database/table``
+    (without ``root`` below the session's warehouse). ``database.table`` is a
+    view of one version, so one catalog change switches it when all rows are
+    written: a reader finds the old rows or the new ones, never none. Until
+    then, and if anything fails, the old rows are read. Versions replaced more
+    than ``keep_seconds`` ago go, so a frame planned on one of them can be read
+    that long.
     """
     spark = df.sparkSession
     ensure_database(spark, database)
+    ensure_database(spark, versions_of(database))
     base = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/") + f"/{database}/{table}"
-    folder, name = f"{base}/{uuid.uuid4().hex}", f"`{database}`.`{table}`"
+    version = f"{table}_v{time.time_ns() // 10**6}_{uuid.uuid4().hex[:8]}"
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(folder)
+    writer.parquet(f"{base}/{version}")
 
-    before = location(spark, name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, folder, source="parquet", description=comment)
+    name = f"`{versions_of(database)}`.`{version}`"
+    spark.catalog.createTable(name, f"{base}/{version}", source="parquet", description=comment)
     if partition_by:
         spark.catalog.recoverPartitions(name)
-    if before and before.startswith(location(spark, name).rpartition("/")[0] + "/"):
-        path = spark._jvm.org.apache.hadoop.fs.Path(before)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return spark.table(name)
+    switch(spark, database, table, version, comment)
+    expire_versions(spark, database, table, base, keep_seconds)
+    return spark.table(f"`{database}`.`{table}`")
+
+
+def versions_of(database: str) -> str:
+    return f"{database}_versions"
+
+
+def switch(spark: SparkSession, database: str, table: str, version: str, comment: str | None = None) -> None:
+    """Let a table show a version, in one change of the catalog."""
+    name = f"`{database}`.`{table}`"
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # a plain table of that name, once
+    text = "COMMENT '{}'".format(comment.replace("\\", "\\\\").replace("'", "\\'")) if comment else ""
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} {text} TBLPROPERTIES ('version' = '{version}') "
+        f"AS SELECT * FROM `{versions_of(database)}`.`{version}`"
+    )
 
 
-def location(spark: SparkSession, name: str) -> str | None:
-    """Folder of a table, or None if there is no such table."""
+def current_version(spark: SparkSession, database: str, table: str) -> str | None:
+    name = f"`{database}`.`{table}`"
     if not spark.catalog.tableExists(name):
         return None
+    found = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return found.get("version")
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """Folder of a table; another version may lie below another root."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
-    return rows[-1]["data_type"].rstrip("/") if rows else None
+    return rows[-1]["data_type"]
+
+
+def expire_versions(
+    spark: SparkSession, database: str, table: str, base: str, keep_seconds: float = KEEP_SECONDS
+) -> list[str]:
+    """Remove versions of a table that were replaced, or that failed before they
+    were shown, more than ``keep_seconds`` ago; their names.
+
+    No write may take longer than that. A version's name holds its time, and it
+    was replaced when the next one that is in the catalog was made.
+    """
+    pattern = re.compile(re.escape(table) + "_v([0-9]+)_[0-9a-f]{8}")
+    made = lambda name: int(pattern.fullmatch(name)[1])
+    listed = {t.name for t in spark.catalog.listTables(versions_of(database)) if pattern.fullmatch(t.name)}
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = {f.getPath().getName() for f in files.listStatus(path)} if files.exists(path) else set()
+    current, now = current_version(spark, database, table), time.time_ns() // 10**6
+    gone = []
+    for version in sorted({f for f in folders if pattern.fullmatch(f)} | listed, key=made):
+        later = [made(other) for other in listed if made(other) > made(version)]
+        replaced = min(later, default=now) if version in listed else made(version)
+        if version != current and now - replaced >= keep_seconds * 1000:
+            name = f"`{versions_of(database)}`.`{version}`"
+            folder = spark._jvm.org.apache.hadoop.fs.Path(location(spark, name) if version in listed else f"{base}/{version}")
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            gone.append(version)
+    return gone
 
 
 def load_table(

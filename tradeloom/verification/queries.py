@@ -143,8 +143,9 @@ def _written(m: Models, name: str) -> DataFrame:
     return models[name]
 
 
+register("written_fct_orders", lambda m: _written(m, "fct_orders"), doubles("f_orders", *ORDER_MONEY))
 register(
-    "written_fct_orders",
+    "written_fct_orders_of_1997",
     lambda m: _written(m, "fct_orders").filter("purchase_year = 1997"),
     doubles("f_orders", *ORDER_MONEY) + " WHERE purchase_year = 1997",
 )
