@@ -1,12 +1,23 @@
 """One key with a third of all rows: results stay right, work stays spread."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from tradeloom.operators.lookup import BROADCAST_BYTES, HotKeys, hot_keys, left_join_per_key, lookup_join
+from tradeloom.operators.lookup import (
+    BROADCAST_BYTES,
+    HotKeys,
+    hot_keys,
+    hot_keys_of_large,
+    left_join_per_key,
+    lookup_join,
+    planned_bytes,
+)
 from tradeloom.plans import intermediate, marts
 
 ROWS = 120_000
+TIMES = ("purchased_at", "approved_at", "shipped_at", "delivered_at", "estimated_delivery_at")
 
 
 @pytest.fixture(scope="module")
@@ -128,7 +139,7 @@ def test_hot_person(enriched, customers):
     located = intermediate.orders_with_customer(enriched, customers)
     summary = intermediate.int_customer_summary(customers, located)
     text = summary._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count(order_id" in text and "Window" not in text
+    assert "partial_sum(orders" in text and "Window" not in text
     assert text.count("Join [customer_id") == 1
     row = marts.dim_customers(summary).filter("customer_unique_id = 3").first()
     assert row.total_orders == ROWS // 3 + 1 and row.city == "city7"
@@ -237,6 +248,48 @@ def test_plan_at_a_width_of_a_million(spark, orders):
     assert " IN (" not in text and "INSET" not in text and "_salt" in text
 
 
+def test_small_frames_are_not_searched(spark):
+    frame = spark.range(1000)
+    assert hot_keys_of_large(frame, "id") is None
+    assert planned_bytes(frame) == 8000
+    assert hot_keys_of_large(frame, "id", least_bytes=8000).bytes == 0
+
+
+def test_repeated_orders_count_once(spark):
+    """Whatever says which orders repeat, and on every path of the join."""
+    orders = spark.createDataFrame(
+        [(1, 10), (1, 10), (1, 11), (2, 10), (3, 12), (None, 10), (None, 13), (4, 13), (4, 13)], "order_id bigint, customer_id bigint"
+    ).selectExpr("*", "'x' AS order_status", *[f"TIMESTAMP_NTZ '2018-01-01' AS {t}" for t in TIMES])
+    customers = spark.createDataFrame(
+        [(10, 1), (11, 1), (12, 2), (13, 3), (14, 4)], "customer_id bigint, customer_unique_id bigint"
+    ).selectExpr("*", "'c' AS city", "'s' AS state")
+    payments = spark.sql("SELECT 1L AS order_id, 'a' AS payment_type, 1 AS payment_installments, 2.0BD AS payment_value")
+    reviews = spark.sql("SELECT 1L AS order_id, 1 AS review_id, 4 AS review_score, '' AS comment_message, 1 AS review_created_at")
+    items = spark.sql("SELECT 1L AS order_id, 1.0BD AS price, 1.0BD AS freight_value")
+    hot_ids = HotKeys(spark.sql("SELECT 4L AS order_id, 2L AS salts"), 100)
+    none = HotKeys(spark.sql("SELECT 4L AS order_id, 2L AS salts").limit(0), 0)
+    found = []
+    for options in ({}, {"repeats": True}, {"hot_order_ids": hot_ids, "repeats": True}, {"hot_order_ids": none, "repeats": True}):
+        enriched = intermediate.int_orders_enriched(orders, payments, reviews, items, **options)
+        located = intermediate.orders_with_customer(enriched, customers)
+        found.append(sorted(map(tuple, intermediate.int_customer_summary(customers, located).collect())))
+    assert found[0] == found[1] == found[2] == found[3]
+    assert {row[0]: row[1] for row in found[0]} == {1: 2, 2: 1, 3: 1, 4: 0}
+    assert {row[0]: row[6] for row in found[0]}[1] == 4.0
+
+
+def test_orders_are_shuffled_once_above_the_join(skewed, orders, customers, enriched):
+    amounts_of = skewed.range(0, 10).selectExpr("id AS order_id", "'a' AS payment_type", "1 AS payment_installments", "1.0BD AS payment_value")
+    items = amounts_of.selectExpr("order_id", "payment_value AS price", "payment_value AS freight_value")
+    reviews = amounts_of.selectExpr("order_id", "order_id AS review_id", "1 AS review_score", "'' AS comment_message", "1 AS review_created_at")
+    marked = intermediate.int_orders_enriched(orders, amounts_of, reviews, items, repeats=True)
+    summary = intermediate.int_customer_summary(customers, intermediate.orders_with_customer(marked, customers))
+    plan = final_plan(summary).split("Initial Plan")[0]
+    above = plan[: re.search(r"Join(\(skew=true\))? \[customer_id", plan).start()]
+    assert above.count("Exchange hashpartitioning(customer_unique_id") == 1
+    assert "order_id" not in "".join(line for line in above.splitlines() if "Exchange" in line)
+
+
 def test_many_warm_keys_are_found_at_a_wide_shuffle(spark):
     keys = F.when(F.col("id") % 2 == 0, F.col("id") % 500).otherwise(F.col("id") + 1000)
     rows = spark.range(0, 400_000, 1, 4).select(keys.alias("k"))

@@ -6,9 +6,10 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tradeloom.operators.stage import staged
+from tradeloom.session import SHUFFLE_BYTES
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 _VALUE_BYTES = 16
@@ -116,11 +117,23 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.005, partitions: float =
     return HotKeys(hot, measured_bytes(hot))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size of ``df`` by Spark's statistics: no job, file sizes at least."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def hot_keys_of_large(df: DataFrame, key: str, least_bytes: int = 4 * SHUFFLE_BYTES) -> HotKeys | None:
+    """The hot keys of a frame of which one key could fill a few partitions;
+    none are looked for in a smaller one."""
+    return hot_keys(df, key) if planned_bytes(df) >= least_bytes else None
+
+
 def left_join_per_key(
     left: DataFrame,
     rights: Sequence[DataFrame],
     on: str,
     hot: HotKeys | None = None,
+    repeats: str | None = None,
 ) -> DataFrame:
     """Left-join several frames that each hold at most one row per ``on``.
 
@@ -129,14 +142,26 @@ def left_join_per_key(
     a hot key are dealt by key and a salt: each of the key's few right rows, one
     a frame, is copied to all of its salts. The copies are as many as the
     shuffle has partitions, not as the data has rows.
+
+    ``repeats`` adds a column of that name: false if no other row has the key.
+    The join has sorted the rows by key, so they are counted where they are; of
+    hot and missing keys it is true.
     """
+
+    def marked_repeats(joined: DataFrame, known: bool = True) -> DataFrame:
+        if repeats is None:
+            return joined
+        others = F.count("*").over(Window.partitionBy(on)) > 1
+        return joined.withColumn(repeats, others if known else F.lit(True))
+
     if hot is None:
-        return _join_all(left, rights, [on])
-    known, unknown = left.filter(F.col(on).isNotNull()), left.filter(F.col(on).isNull())
+        return marked_repeats(_join_all(left, rights, [on]))
+    known = left.filter(F.col(on).isNotNull())
+    unknown = marked_repeats(left.filter(F.col(on).isNull()), False)
     if not hot.bytes:
-        return _join_all(known, rights, [on]).unionByName(unknown, allowMissingColumns=True)
+        return marked_repeats(_join_all(known, rights, [on])).unionByName(unknown, allowMissingColumns=True)
     marked = known.join(hot.side().withColumnRenamed("salts", "_salts"), on, "left")
-    cold = _join_all(marked.filter("_salts IS NULL"), rights, [on])
+    cold = marked_repeats(_join_all(marked.filter("_salts IS NULL"), rights, [on]))
     dealt = marked.filter("_salts IS NOT NULL").withColumn("_salt", F.monotonically_increasing_id() % F.col("_salts"))
     copies = [
         right.join(hot.side(), on)
@@ -145,7 +170,7 @@ def left_join_per_key(
         for right in rights
     ]
     return (
-        cold.unionByName(_join_all(dealt, copies, [on, "_salt"]).drop("_salt"))
+        cold.unionByName(marked_repeats(_join_all(dealt, copies, [on, "_salt"]).drop("_salt"), False))
         .drop("_salts")
         .unionByName(unknown, allowMissingColumns=True)
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.lazy import Frames
-from tradeloom.operators.lookup import HotKeys, hot_keys
+from tradeloom.operators.lookup import HotKeys, hot_keys_of_large
 from tradeloom.operators.stage import staged
 from tradeloom.plans import intermediate, marts, quality, staging
 from tradeloom.sources.catalog import ANALYTICS, RAW, SOURCES
@@ -58,7 +58,7 @@ def staging_models(raw: Mapping[str, DataFrame]) -> Frames:
 
 
 def enriched_orders(
-    models: Mapping[str, DataFrame], hot_order_ids: HotKeys | None = None
+    models: Mapping[str, DataFrame], hot_order_ids: HotKeys | None = None, repeats: bool = False
 ) -> DataFrame:
     return intermediate.int_orders_enriched(
         models["stg_orders"],
@@ -66,6 +66,7 @@ def enriched_orders(
         models["stg_order_reviews"],
         models["stg_order_items"],
         hot_order_ids,
+        repeats,
     )
 
 
@@ -100,9 +101,9 @@ def build_warehouse(
     year filters skip whole files.
     """
     models = dict(staging_models(raw))
-    hot = hot_keys(models["stg_orders"], "order_id")
-    enriched = enriched_orders(models, hot)
-    models["int_orders_enriched"] = enriched
+    hot = hot_keys_of_large(models["stg_orders"], "order_id")
+    models["int_orders_enriched"] = enriched_orders(models, hot)
+    enriched = enriched_orders(models, hot, repeats=True)
 
     def order_side() -> None:
         located = staged(located_orders(models, enriched), "orders_with_customer")

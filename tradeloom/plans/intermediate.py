@@ -42,15 +42,18 @@ def int_orders_enriched(
     reviews: DataFrame,
     items: DataFrame,
     hot_order_ids: HotKeys | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """One row per order. Payments, reviews and items shrink to one row per
     order before they meet, all on the same key, so nothing multiplies and each
-    table shuffles once."""
+    table shuffles once. With ``repeats`` a column ``order_repeats`` says whether
+    other rows may have the order's id."""
     joined = left_join_per_key(
         orders,
         [payments_per_order(payments), latest_reviews(reviews), items_per_order(items)],
         "order_id",
         hot_order_ids,
+        "order_repeats" if repeats else None,
     )
 
     def or_zero(name: str):
@@ -78,6 +81,7 @@ def int_orders_enriched(
         or_zero("total_freight"),
         "review_score",
         F.col("comment_message").alias("review_comment"),
+        *(["order_repeats"] if repeats else []),
     )
 
 
@@ -102,13 +106,16 @@ def int_customer_summary(customers: DataFrame, located: DataFrame) -> DataFrame:
     """History per person, with the address of the newest order.
 
     Two kinds of rows meet: the orders, and every customer record, so that
-    persons without orders appear. They are summed by person and order first,
-    which makes the orders distinct, then by person. Both combine before the
-    shuffle, so a person with a third of all orders is no bigger than any
-    other, and the join behind ``located`` runs once.
+    persons without orders appear. Rows of an order id of their own (see
+    ``order_repeats``; without that column, none) count as an order each and
+    go into the person's sums at once. The others, few if the order ids are
+    what they should be, are summed by person and order first. Every sum
+    combines before the shuffle, so a person with a third of all orders is no
+    bigger than any other.
     """
     person = ["customer_unique_id"]
     address, order = ["city", "state"], ["purchased_at", "order_id", "customer_id"]
+    repeats = F.col("order_repeats") if "order_repeats" in located.columns else F.lit(True)
     orders = located.filter("has_customer").select(
         *person,
         F.col("customer_city").alias("city"),
@@ -117,10 +124,24 @@ def int_customer_summary(customers: DataFrame, located: DataFrame) -> DataFrame:
         "total_revenue",
         "review_score",
         "delivery_status",
+        repeats.alias("repeats"),
     )
     records = customers.select(*person, *address, "customer_id")
-    per_order = (
-        orders.unionByName(records, allowMissingColumns=True)
+    is_late = F.col("delivery_status") == LATE
+    alone = orders.filter("NOT repeats").unionByName(records, allowMissingColumns=True).select(
+        *person,
+        F.when(F.col("order_id").isNotNull(), 1).otherwise(0).cast("bigint").alias("orders"),
+        F.col("total_revenue").alias("revenue"),
+        F.col("total_revenue").isNotNull().cast("bigint").alias("revenues"),
+        F.col("purchased_at").alias("first_at"),
+        F.col("purchased_at").alias("last_at"),
+        F.col("review_score").cast("bigint").alias("score"),
+        F.col("review_score").isNotNull().cast("bigint").alias("scores"),
+        F.coalesce(is_late, F.lit(False)).cast("bigint").alias("late"),
+        F.struct(*address, *order).alias("newest"),
+    )
+    repeated = (
+        orders.filter("repeats")
         .groupBy(*person, "order_id")
         .agg(
             F.sum("total_revenue").alias("revenue"),
@@ -129,12 +150,14 @@ def int_customer_summary(customers: DataFrame, located: DataFrame) -> DataFrame:
             F.max("purchased_at").alias("last_at"),
             F.sum("review_score").alias("score"),
             F.count("review_score").alias("scores"),
-            F.count_if(F.col("delivery_status") == LATE).alias("late"),
+            F.count_if(is_late).alias("late"),
             newest([*address, *order], order).alias("newest"),
         )
+        .withColumn("orders", F.col("order_id").isNotNull().cast("bigint"))
+        .drop("order_id")
     )
-    summed = per_order.groupBy(*person).agg(
-        F.count("order_id").alias("total_orders"),
+    summed = alone.unionByName(repeated).groupBy(*person).agg(
+        F.sum("orders").alias("total_orders"),
         F.sum("revenue").alias("lifetime_value"),
         ratio(F.sum("revenue"), F.sum("revenues")).alias("avg_order_value"),
         F.min("first_at").alias("first_order_at"),

@@ -19,7 +19,7 @@ from tradeloom.functions.measures import (
 )
 from tradeloom.functions.timestamps import day_diff, safe_timestamp
 from tradeloom.lazy import Frames
-from tradeloom.operators.lookup import HotKeys, frequent_keys, hot_keys, lookup_join, measured_bytes
+from tradeloom.operators.lookup import HotKeys, frequent_keys, hot_keys_of_large, lookup_join, measured_bytes
 from tradeloom.operators.ranking import top_k
 from tradeloom.operators.stage import stage_folder, staged
 from tradeloom.plans import build, intermediate, marts, quality, reports
@@ -53,13 +53,17 @@ class Models:
     def staging(self) -> Frames:
         return build.staging_models(self.raw)
 
+    @cached_property
+    def hot_order_ids(self) -> HotKeys | None:
+        return hot_keys_of_large(self.staging["stg_orders"], "order_id")
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return build.enriched_orders(self.staging, hot_keys(self.staging["stg_orders"], "order_id"))
+        return build.enriched_orders(self.staging, self.hot_order_ids)
 
     @cached_property
     def located(self) -> DataFrame:
-        return build.located_orders(self.staging, self.enriched)
+        return build.located_orders(self.staging, build.enriched_orders(self.staging, self.hot_order_ids, repeats=True))
 
     @cached_property
     def summary(self) -> DataFrame:
