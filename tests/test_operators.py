@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import shop
 from tradeloom.functions import labels
 from tradeloom.functions.measures import distinct_list, percent_of_rows, round_double
 from tradeloom.functions.timestamps import in_years, year_month
@@ -12,6 +13,9 @@ from tradeloom.operators.latest import latest_by
 from tradeloom.operators.lookup import hot_keys, lookup_join, measured_bytes
 from tradeloom.operators.ranking import share_of_total, to_long, top_k
 from tradeloom.operators.stage import stage_folder, staged
+from tradeloom.plans import build
+from tradeloom.sources.catalog import SOURCES
+from tradeloom.sources.tables import load_all, read_tables
 
 
 def plan(df) -> str:
@@ -47,6 +51,23 @@ def test_lookup_broadcasts_only_within_bound(spark):
     assert "ResolvedHint (strategy=broadcast)" not in large._jdf.queryExecution().analyzed().toString()
 
 
+def test_lookups_run_no_job_before_the_action(spark, tmp_path):
+    """Nor does a lookup that is itself a join count as large."""
+    shop.write_csvs(tmp_path)
+    load_all(spark, str(tmp_path))
+    raw = read_tables(spark, SOURCES, "raw")
+    spark.sparkContext.setJobGroup("lookups", "lookups")
+    try:
+        models = build.staging_models(raw)
+        products, items = models["stg_products"], build.order_items(models)
+        assert plan(items).count("BroadcastHashJoin [product") == 2
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lookups")) == []
+        assert products.count() and items.count()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lookups"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_hot_keys(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")

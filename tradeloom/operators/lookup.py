@@ -12,6 +12,8 @@ from tradeloom.operators.stage import staged
 from tradeloom.session import SHUFFLE_BYTES
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+#: Times their size that files may take up as rows.
+UNPACKED = 8
 _VALUE_BYTES = 16
 
 
@@ -26,6 +28,12 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(size.alias("bytes")).first()["bytes"]
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of all that ``df`` is read from, by Spark's statistics: no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -34,11 +42,14 @@ def lookup_join(
 ) -> DataFrame:
     """Left join against a lookup table that may or may not be small.
 
-    The lookup side is measured first and sent to every executor only when it
-    is within ``broadcast_bytes``. Otherwise both sides shuffle on the key and
-    AQE splits the hot keys of the left side.
+    ``right`` has one row for each key and is made from its sources by
+    projections, filters and such joins. It is sent to every executor if those
+    sources are within ``broadcast_bytes``, also when their files unpack to
+    several times their size. Otherwise the sides shuffle on the key, and AQE
+    decides by the sizes it finds: it sends a right side that turns out small,
+    and splits the hot keys of the left one. No job runs before that.
     """
-    if measured_bytes(right) <= broadcast_bytes:
+    if source_bytes(right) * UNPACKED <= broadcast_bytes:
         right = F.broadcast(right)
     return left.join(right, on, "left")
 
