@@ -22,7 +22,9 @@ from tradeloom.llm.common import col, id_key, replaced, single_threaded, text_of
 WORDS = re.compile(r"\w+")
 WORD_BUCKETS, TRIGRAM_BUCKETS = 4096, 8192
 WORD_SIZE, TRIGRAM_SIZE, HIDDEN, ATTENTION = 8, 16, 8, 8
-WINDOW, STEP = 32, 24
+#: Words of a window, and from one window's start to the next: each word but
+#: those at the ends of a text lies in two windows.
+WINDOW, STEP = 32, 16
 #: Words a task remembers the features of.
 MOST_WORDS = 200_000
 
@@ -258,7 +260,8 @@ def score_texts(network: Network, texts: list[str]) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> tuple[list[str], list[int]]:
-    """At most ``rows`` labelled texts, those of the smallest hashes of ids."""
+    """At most ``rows`` labelled texts, those of the smallest hashes of ids; of
+    several texts with an id the least."""
     known = (
         labels.select(col(id_col).cast("bigint").alias("i"), col(label_col).cast("int").alias("label"))
         .dropna()
@@ -269,7 +272,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     )
     ids = docs.sparkSession.createDataFrame(known.toPandas(), "i bigint, label int")
     texts = docs.select(col(id_col).cast("bigint").alias("i"), text_of(text_col).alias("t"))
-    found = texts.join(F.broadcast(ids), "i").groupBy("i", "label").agg(F.first("t").alias("t")).orderBy("i").collect()
+    found = texts.join(F.broadcast(ids), "i").groupBy("i", "label").agg(F.min("t").alias("t")).orderBy("i").collect()
     return [row.t for row in found], [row.label for row in found]
 
 
@@ -295,9 +298,10 @@ def score(docs: DataFrame, network: Network, text_col: str = "text") -> DataFram
             parts = [score_texts(network, texts.iloc[low : low + 64].tolist()) for low in range(0, len(texts), 64)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
-    return replaced(docs.withColumn("__text", text_of(text_col)), score=scored("__text")).drop("__text")
+    return replaced(docs, score=scored(text_of(text_col)))
 
 
 def held_out(id_col: str = "doc_id"):
-    """The rows kept from training: crc32 of the id as text, mod 4, is 2."""
-    return F.crc32(col(id_col).cast("string").cast("binary")) % 4 == 2
+    """The rows kept from training: crc32 of the id as text, mod 4, is 2. A null
+    id is not held out."""
+    return F.coalesce(F.crc32(col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
