@@ -94,6 +94,14 @@ def test_share_of_total(spark):
     assert share_of_total(numbers(spark, []), "v").collect() == []
 
 
+def test_shares_read_the_report_once(spark):
+    report = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 3).alias("k")).count()
+    shares = share_of_total(report, "count")
+    assert sum(row.share for row in shares.collect()) == pytest.approx(1)
+    text = plan(shares)
+    assert text.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1 and "Subquery" not in text
+
+
 def test_to_long(spark):
     df = spark.createDataFrame([("m", 1.0, None)], "k string, a double, b double")
     assert sorted(map(tuple, to_long(df, ["k"], ["a", "b"]).collect()), key=str) == [

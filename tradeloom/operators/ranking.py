@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def top_k(df: DataFrame, k: int, measure: str, tie: str) -> DataFrame:
@@ -13,11 +13,12 @@ def top_k(df: DataFrame, k: int, measure: str, tie: str) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, measure: str, name: str = "share") -> DataFrame:
-    """Add each row's part of the total.
+    """Add each row's part of the total of a grouped report.
 
-    The total is a scalar subquery, so no row leaves its partition for it.
+    ``df`` has a row for each value of a status or segment, so its few rows
+    meet in one task, and what they are grouped from is read once.
     """
-    total = df.select(F.sum(measure)).scalar()
+    total = F.sum(measure).over(Window.partitionBy())
     return df.withColumn(name, F.try_divide(F.col(measure).cast("double"), total))
 
 
