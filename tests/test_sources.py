@@ -1,5 +1,6 @@
 """CSV loads: malformed rows, quoting, large files, missing files, repeats."""
 
+import random
 import shutil
 from decimal import Decimal
 
@@ -17,7 +18,7 @@ from tradeloom.sources.csv_records import (
     read_lines,
     write_records,
 )
-from tradeloom.sources import tables
+from tradeloom.sources import csv_records, tables
 from tradeloom.sources.tables import expire_versions, load_all, load_summary, replace_table
 
 ITEMS = SOURCES["order_items"]
@@ -123,7 +124,7 @@ def test_records_cut_in_parallel_equal_a_whole_read(spark, tmp_path, small_split
     assert read_lines(spark, names).rdd.getNumPartitions() > 5
     whole = read_source(spark, REVIEWS, str(tmp_path)).collect()
     cut = read_source(spark, REVIEWS, str(tmp_path), split_bytes=10).collect()
-    assert len(whole) == 490 and write_records(spark, names, list(REVIEWS.columns))[1] == set()
+    assert len(whole) == 490 and write_records(spark, names, list(REVIEWS.columns))[1:] == (None, set())
     assert sorted(map(str, cut)) == sorted(map(str, whole))
 
 
@@ -142,18 +143,44 @@ def test_malformed_records_are_skipped_when_cut(spark, tmp_path, small_splits):
     assert sum(row[CORRUPT] is not None for row in kept) == 2
 
 
-def test_quotes_out_of_place_fall_back_to_a_whole_read(spark, tmp_path, small_splits):
+def test_quotes_out_of_place_are_cut_too(spark, tmp_path, small_splits):
     path = reviews_file(tmp_path / "a.csv", rows=50)
     with open(path, "a") as file:
         file.write('r99,o,5,5" pipe,x,,\nr98,o,5,t,"x\ny",,\n')
-    assert write_records(spark, [path], list(REVIEWS.columns)) == (None, {f"file:{path}"})
+    assert write_records(spark, [path], list(REVIEWS.columns))[1:] == (None, set())
     whole = read_source(spark, REVIEWS, path).collect()
-    assert sorted(map(str, read_source(spark, REVIEWS, path, split_bytes=10).collect())) == sorted(
-        map(str, whole)
-    )
+    cut = read_source(spark, REVIEWS, path, split_bytes=10)
+    assert "csv-cut" in cut.inputFiles()[0] and cut.rdd.getNumPartitions() > 2
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole))
     assert len(whole) == 52
 
 
+ODD_FIELDS = ["x", "", '"q"', '"two\nlines"', '5" pipe', '"a"b', '"a" b', '""', '"say ""hi"""', 'x"y"z', '"a"b\nc"', '"one""', '"x', "\r", "\x1e", '"\x1e\n"']
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_stray_quotes_anywhere_give_the_rows_of_a_whole_read(spark, tmp_path, small_splits, seed):
+    rng = random.Random(seed)
+    common = ODD_FIELDS if seed % 3 else ODD_FIELDS[:6]
+    rows = [",".join([f"r{i}", "o", "5", rng.choice(common), rng.choice(common), "", ""]) for i in range(120)]
+    path = str(tmp_path / "a_order_reviews_dataset.csv")
+    with open(path, "w", newline="") as file:
+        file.write("\n".join([",".join(REVIEWS.columns), *rows]) + "\n")
+    whole = read_source(spark, REVIEWS, path).collect()
+    cut = read_source(spark, REVIEWS, path, split_bytes=10).collect()
+    assert sorted(map(str, cut)) == sorted(map(str, whole))
+
+
+def test_a_record_too_large_for_a_row_takes_the_file_along(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(csv_records, "RECORD_BYTES", 2_000)
+    path = reviews_file(tmp_path / "a.csv", rows=50)
+    with open(path, "a") as file:
+        file.write('r99,o,5,"never closed,x,,\n' + "y\n" * 2_000)
+    assert write_records(spark, [path], list(REVIEWS.columns)) == (None, None, {f"file:{path}"})
+    whole = read_source(spark, REVIEWS, path).collect()
+    assert sorted(map(str, read_source(spark, REVIEWS, path, split_bytes=10).collect())) == sorted(map(str, whole))
+
+
 def test_records_are_numbered_across_splits(spark, tmp_path, small_splits):
     path = reviews_file(tmp_path / "a.csv", rows=60)
     lines = numbered_lines(spark, [path]).orderBy("block", "pos").collect()

@@ -95,13 +95,14 @@ def _read_by_shape(
 
     A file within one split is one task either way, so it is read with quoted
     line ends allowed. A larger file is cut at line ends if no quoted field of
-    it holds one, else at record ends. A file that neither suits (compressed, a
-    quote out of place) streams through a task of its own.
+    it holds one and no quote is out of place, else at record ends. A file that
+    is compressed, or holds a record too large for one row or a quote that is
+    never closed, streams through a task of its own.
     """
     large = [n for n, size in files.items() if size > split_bytes and not n.endswith(COMPRESSED)]
     broken = files_with_open_lines(spark, large) if large else set()
     by_line = [name for name in large if name not in broken]
-    cut, failed = write_records(spark, sorted(broken), header) if broken else (None, set())
+    cut, odd, failed = write_records(spark, sorted(broken), header) if broken else (None, None, set())
     apart = set(by_line) | (broken - failed)
     whole = [name for name in files if name not in apart]
     if not apart:
@@ -114,4 +115,6 @@ def _read_by_shape(
     if cut:
         by_record = reader.option("multiLine", False).option("header", False)
         parts.append(by_record.option("lineSep", RECORD_END).csv(cut))
+    if odd:
+        parts.append(reader.option("header", False).option("lineSep", "\n").option("multiLine", True).csv(odd))
     return reduce(DataFrame.unionByName, parts)

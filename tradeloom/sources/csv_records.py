@@ -56,82 +56,140 @@ def files_with_open_lines(spark: SparkSession, paths: list[str]) -> set[str]:
     return {path_of[row["file_path"]] for row in found}
 
 
+def lines_open(text: Column) -> Column:
+    """Whether a line ends within quotes: ``closed`` if it begins outside of
+    them, ``open`` if inside.
+
+    This is how the reader goes on. A field is quoted if it begins with a quote.
+    Inside quotes two of them stand for one, and a single one ends the quoted
+    part, whatever follows up to the next comma. A quote elsewhere in a field
+    is text. So a comma-separated part inside quotes leaves them if it has an
+    odd run of quotes, and one outside enters them if it begins with a quote
+    and has no odd run behind it.
+    """
+
+    def single(part: Column) -> Column:
+        return F.replace(part, F.lit('""'), F.lit("")).contains('"')
+
+    def step(state: Column, part: Column) -> Column:
+        enters = part.startswith('"') & ~single(F.substring(part, 2, 2**31 - 1))
+        stays = ~single(part)
+        return F.struct(
+            F.when(state["closed"], stays).otherwise(enters).alias("closed"),
+            F.when(state["open"], stays).otherwise(enters).alias("open"),
+        )
+
+    start = F.struct(F.lit(False).alias("closed"), F.lit(True).alias("open"))
+    quoted = F.aggregate(F.split(text, ",", -1), start, step)
+    return F.when(text.contains('"'), quoted).otherwise(start)
+
+
+def with_state(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add ``before``: the state (in quotes or not) before each row of a group,
+    as ``closed`` and ``open`` for what it may be before the first one.
+
+    Each row has ``after``, the state it leaves for either state it finds. A row
+    that leaves the same for both settles it; from the last such row on only
+    rows matter that turn one state into the other.
+    """
+    by = W.partitionBy(*keys).orderBy(order)
+    earlier = by.rowsBetween(W.unboundedPreceding, -1)
+    turns = F.col("after.closed") & ~F.col("after.open")
+    settles = F.col("after.closed") == F.col("after.open")
+    rows = rows.withColumn("turns", F.coalesce(F.count_if(turns).over(earlier), F.lit(0)))
+    settled = F.struct(F.col("after.closed").alias("state"), "turns")
+    rows = rows.withColumn("settled", F.last(F.when(settles, settled), ignorenulls=True).over(earlier))
+    turned = (F.col("turns") - F.coalesce("settled.turns", F.lit(0))) % 2 == 1
+    state = [
+        (F.coalesce("settled.state", F.lit(name == "open")) != turned).alias(name) for name in ("closed", "open")
+    ]
+    return rows.withColumn("before", F.struct(*state)).drop("turns", "settled")
+
+
 def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines with the number of the record they belong to, counted per file.
 
-    A line starts a record if the quotes before it in its file are even. Quotes
-    are counted within each split first; one row per split then carries the
-    count over to the next.
+    A line starts a record if it begins outside quotes. Each split is worked
+    out for both states it may begin in; one row per split then carries state
+    and count over to the next.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     lines = read_lines(spark, paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         "value",
-        (quotes % 2).alias("odd"),
+        lines_open(F.col("value")).alias("after"),
     )
-    split = W.partitionBy("file", "block").orderBy("pos")
-    earlier = split.rowsBetween(W.unboundedPreceding, -1)
-    upto = split.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
-    counted = lines.withColumn("before", before)
-    counted = counted.withColumn("starts_if_even", F.count_if(F.col("before") == 0).over(upto))
-    counted = counted.withColumn("starts_if_odd", F.count_if(F.col("before") == 1).over(upto))
+    upto = W.partitionBy("file", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = with_state(lines, ["file", "block"], "pos")
+    for name in ("closed", "open"):
+        counted = counted.withColumn(f"starts_if_{name}", F.count_if(~F.col(f"before.{name}")).over(upto))
 
+    leaves = F.struct(
+        *(F.when(F.col(f"before.{n}"), F.col("after.open")).otherwise(F.col("after.closed")).alias(n) for n in ("closed", "open"))
+    )
+    splits = counted.groupBy("file", "block").agg(
+        F.max_by(leaves, "pos").alias("after"),
+        F.max("starts_if_closed").alias("closed_starts"),
+        F.max("starts_if_open").alias("open_starts"),
+    )
     previous = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     splits = (
-        counted.groupBy("file", "block")
-        .agg(
-            F.sum("odd").alias("odd"),
-            F.max("starts_if_even").alias("even_starts"),
-            F.max("starts_if_odd").alias("odd_starts"),
-        )
-        .withColumn("opens_even", F.coalesce(F.sum("odd").over(previous), F.lit(0)) % 2 == 0)
-        .withColumn("starts", F.when(F.col("opens_even"), F.col("even_starts")).otherwise(F.col("odd_starts")))
+        with_state(splits, ["file"], "block")
+        .withColumn("opens", F.col("before.closed"))
+        .withColumn("starts", F.when(F.col("opens"), F.col("open_starts")).otherwise(F.col("closed_starts")))
         .withColumn("records", F.coalesce(F.sum("starts").over(previous), F.lit(0)))
-        .select("file", "block", "opens_even", "records")
+        .select("file", "block", "opens", "records")
     )
-    started = F.when(F.col("opens_even"), F.col("starts_if_even")).otherwise(F.col("starts_if_odd"))
+    started = F.when(F.col("opens"), F.col("starts_if_open")).otherwise(F.col("starts_if_closed"))
+    is_in = F.when(F.col("opens"), F.col("before.open")).otherwise(F.col("before.closed"))
     return counted.join(splits, ["file", "block"]).select(
-        "file", "block", "pos", "value", (F.col("records") + started - 1).alias("record")
+        "file",
+        "block",
+        "pos",
+        "value",
+        (F.col("records") + started - 1).alias("record"),
+        F.when(is_in, F.col("after.open")).otherwise(F.col("after.closed")).alias("ends_open"),
     )
 
 
 def write_records(
     spark: SparkSession, paths: list[str], header: list[str]
-) -> tuple[str | None, set[str]]:
+) -> tuple[str | None, str | None, set[str]]:
     """Write the records of ``paths``, without headers, to a new shared folder.
 
     They end in ``RECORD_END`` instead of a line end, so the folder can be read
-    in splits. Also returns the files this cannot be done for, as counting
-    quotes is not enough to tell their records apart: a quote out of place, or
-    a record too large for one row. The others are written all the same.
+    in splits. Records that hold that character go to a second folder, as they
+    stand. Also returns the files with a record too large for one row, or with a
+    quote that is never closed; the others are written all the same.
     """
     lines = staged(numbered_lines(spark, paths), "csv-lines")
     sizes = lines.groupBy("file", "record").agg(F.sum(F.octet_length("value")).alias("bytes"))
-    large = {r.file for r in sizes.filter(F.col("bytes") > RECORD_BYTES).select("file").distinct().collect()}
+    last = lines.groupBy("file").agg(F.max_by("ends_open", F.struct("block", "pos")).alias("ends_open"))
+    unfit = sizes.filter(F.col("bytes") > RECORD_BYTES).select("file").union(last.filter("ends_open").select("file"))
+    large = {r.file for r in unfit.distinct().collect()}
     ordered = F.sort_array(F.collect_list(F.struct("block", "pos", "value")))
     text = F.array_join(F.transform(ordered, lambda line: line["value"]), "\n")
     fitting = lines.filter(~F.col("file").isin(*large)) if large else lines
     records = staged(fitting.groupBy("file", "record").agg(text.alias("text")), "csv-records")
-    odd = records.filter(~is_whole(F.col("text")) | F.col("text").contains(RECORD_END))
-    bad = large | {r.file for r in odd.select("file").distinct().collect()}
-    records = records.filter(~F.col("file").isin(*bad)) if bad else records
     heads = records.filter("record = 0").select(F.regexp_replace("text", "\r$", "").alias("text")).distinct()
     for row in heads.take(2):
         names = next(csv.reader([row.text.removeprefix("\ufeff")], doublequote=True), [])
         if names != header:
             raise ValueError(f"CSV header does not conform: {names} instead of {header}")
     named = spark.read.format("binaryFile").load(paths).select("path", "_metadata.file_path")
-    failed = {row["path"] for row in named.collect() if row["file_path"] in bad}
+    failed = {row["path"] for row in named.collect() if row["file_path"] in large}
     if len(failed) == len(paths):
-        return None, failed
+        return None, None, failed
+    body = records.filter("record > 0")
+    holds_end = F.col("text").contains(RECORD_END)
     folder = f"{stage_folder(spark)}/csv-cut-{uuid.uuid4().hex}"
     # As in a whole read: if CRLF ends the records, LF stands for it in quotes.
     crlf = F.regexp_replace(F.replace(F.col("text"), F.lit("\r\n"), F.lit("\n")), "\r$", "")
-    body = records.filter("record > 0").select(
-        F.when(F.col("text").endswith("\r"), crlf).otherwise(F.col("text")).alias("text")
-    )
-    body.write.option("lineSep", RECORD_END).text(folder)
-    return folder, failed
+    cut = body.filter(~holds_end).select(F.when(F.col("text").endswith("\r"), crlf).otherwise(F.col("text")).alias("text"))
+    cut.write.option("lineSep", RECORD_END).text(folder)
+    apart = body.filter(holds_end).select("text")
+    if apart.isEmpty():
+        return folder, None, failed
+    apart.write.text(f"{folder}-apart")
+    return folder, f"{folder}-apart", failed
