@@ -213,7 +213,7 @@ def test_random_strings_are_told_from_identifiers(spark):
 # Url filters ------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("ranges", [1, 7])
+@pytest.mark.parametrize("ranges", [1, 7, 300])
 def test_urls(spark, ranges):
     rng = random.Random(ranges)
     label = lambda: rng.choice(["a", "b", "www", "x-y", "net", ""])

@@ -19,7 +19,6 @@ from tradeloom.llm.common import col, replaced
 from tradeloom.operators.stage import staged
 
 LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-AFTER = "\U0010ffff"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -37,24 +36,38 @@ def host_key(host: Column) -> Column:
     return F.when(host == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit(".")))
 
 
-def range_edges(keyed: DataFrame, ranges: int, per_range: int) -> list[str]:
-    """Edges between ranges of about equal rows, from the rows of the smallest
-    hashes: ``ranges * per_range`` of them at most reach the driver."""
-    sample = keyed.select("key", F.xxhash64("key").alias("h")).orderBy("h", "key").limit(ranges * per_range)
-    keys = sorted(row["key"] for row in sample.select("key").collect())
-    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
-
+def prefixes(key: Column) -> Column:
+    """The host keys a key lies below or at, from that of all hosts on."""
+    host = F.substring_index(key, "/", 1)
+    labels = F.length(host) - F.length(F.replace(host, F.lit(".")))
+    return F.concat(
+        F.array(F.lit("")),
+        F.transform(
+            F.when(labels > 0, F.sequence(F.lit(1), labels)).otherwise(F.array().cast("array<int>")),
+            lambda n: F.concat(F.array_join(F.slice(F.split(host, r"\."), 1, n), "."), F.lit(".")),
+        ),
+    )
 
-def range_of(key: Column, edges: list[str]) -> Column:
-    """Number of edges up to the key, by halving."""
 
-    def part(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key < F.lit(edges[middle]), part(low, middle)).otherwise(part(middle + 1, high))
+def in_ranges(events: DataFrame, ranges: int) -> DataFrame:
+    """Rules and urls sorted over all tasks, with the ``range`` a row lies in,
+    and in each range also the rules that are open where it begins.
 
-    return part(0, len(edges))
+    Those are the rules that start in an earlier range at a prefix of the
+    range's first key: a table of a row for each label of each first key finds
+    them, whatever the number of ranges.
+    """
+    placed = staged(
+        events.repartitionByRange(ranges, "key", "is_url")
+        .sortWithinPartitions("key", "is_url")
+        .withColumn("range", F.spark_partition_id()),
+        "url-ranges",
+    )
+    edges = placed.groupBy("range").agg(F.min("key").alias("edge"))
+    started = placed.filter("NOT is_url").withColumnRenamed("range", "own")
+    open_ = edges.select("range", F.explode(prefixes(F.col("edge"))).alias("key")).join(started, "key").filter("own < range")
+    every = placed.unionByName(open_.drop("own"))
+    return every.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "key", "is_url")
 
 
 def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,7 +110,6 @@ def judge_urls(
     url_col: str = "url",
     default: str = "allow",
     ranges: int | None = None,
-    per_range: int = 20,
 ) -> DataFrame:
     """Judge each url by the longest rule that fits it.
 
@@ -113,19 +125,18 @@ def judge_urls(
     hosts. Rules of null host or verdict fit nothing; a null path is empty.
     Repeated rows are judged alike; without rules all get ``default``.
 
-    At scale: each host and path is judged once. Keys are dealt into ranges
-    whose edges come from a bounded sample, a host that holds a third of all
-    urls into as many as its paths fill. A range gets the rules that start in
-    it and those that are open at its edge, so rules are neither broadcast nor
-    copied to all ranges.
+    At scale: each host and path is judged once. Keys are sorted into ranges by
+    Spark, a host that holds a third of all urls into as many as its paths
+    fill. A range gets the rules that start in it and those that are open at its
+    edge, so rules are neither broadcast nor copied to all ranges; the rules of
+    one host must fit into a task. Nothing is collected.
     """
     spark = pages.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     host, path = host_and_path(col(url_col).cast("string"))
     parsed = replaced(pages, host=host, path=path)
     key = F.concat(host_key(F.col("host")), F.lit("/"), F.col("path"))
-    keyed = staged(parsed.select("host", "path").distinct().withColumn("key", key), "url-keys")
-    edges = range_edges(keyed, ranges, per_range)
+    keyed = parsed.select("host", "path").distinct().withColumn("key", key)
 
     known = (
         rules.select(
@@ -137,21 +148,10 @@ def judge_urls(
         .distinct()
         .withColumn("key", host_key(F.col("host")))
     )
-    first, last = range_of(F.col("key"), edges), range_of(F.concat("key", F.lit(AFTER)), edges)
     events = known.select(
-        F.explode(F.sequence(first, last)).alias("range"),
-        "key",
-        F.lit(False).alias("is_url"),
-        "host",
-        "path",
-        F.concat("host", "path").alias("rule"),
-        "verdict",
-    ).union(
-        keyed.select(
-            range_of(F.col("key"), edges), "key", F.lit(True), "host", "path", F.lit(None), F.lit(None)
-        )
-    )
-    dealt = events.repartition(len(edges) + 1, "range").sortWithinPartitions("range", "key", "is_url")
+        "key", F.lit(False).alias("is_url"), "host", "path", F.concat("host", "path").alias("rule"), "verdict"
+    ).union(keyed.select("key", F.lit(True), "host", "path", F.lit(None), F.lit(None)))
+    dealt = in_ranges(events, ranges)
     judged = dealt.mapInPandas(sweep, "host string, path string, rule string, verdict string")
     names = [name for name in parsed.columns if name.lower() not in ("rule", "verdict")]
     return (
