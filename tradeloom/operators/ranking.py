@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tradeloom.operators.stage import staged
 
 
 def top_k(df: DataFrame, k: int, measure: str, tie: str) -> DataFrame:
@@ -15,11 +17,12 @@ def top_k(df: DataFrame, k: int, measure: str, tie: str) -> DataFrame:
 def share_of_total(df: DataFrame, measure: str, name: str = "share") -> DataFrame:
     """Add each row's part of the total of a grouped report.
 
-    ``df`` has a row for each value of a status or segment, so its few rows
-    meet in one task, and what they are grouped from is read once.
+    The grouped rows are written, and the total is a scalar subquery over them:
+    the report is worked out once, and no row leaves its partition.
     """
-    total = F.sum(measure).over(Window.partitionBy())
-    return df.withColumn(name, F.try_divide(F.col(measure).cast("double"), total))
+    rows = staged(df, "report")
+    total = rows.select(F.sum(measure)).scalar()
+    return rows.withColumn(name, F.try_divide(F.col(measure).cast("double"), total))
 
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
