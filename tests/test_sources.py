@@ -390,3 +390,42 @@ def test_a_plain_table_of_the_name_makes_room(spark, tmp_path):
     spark.range(3).write.mode("overwrite").saveAsTable("plain_before.t")
     replace_table(spark.range(4), "plain_before", "t", str(tmp_path))
     assert spark.table("plain_before.t").count() == 4
+
+
+def test_lines_are_not_shuffled_to_be_cut(spark, tmp_path, small_splits, monkeypatch):
+    """Only records at the ends of splits are put together line by line."""
+
+    def stops(*_):
+        raise AssertionError("all lines were numbered")
+
+    monkeypatch.setattr(csv_records, "numbered_lines", stops)
+    path = reviews_file(tmp_path / "a.csv", rows=60)
+    cut, apart, failed = write_records(spark, [path], list(REVIEWS.columns))
+    assert apart is None and not failed
+    splits = read_lines(spark, [path]).rdd.getNumPartitions()
+    assert splits > 2 and len(spark.read.text(cut).select("_metadata.file_path").distinct().collect()) >= splits
+
+
+def test_records_of_mixed_line_ends_are_cut_one_by_one(spark, tmp_path, small_splits):
+    path = reviews_file(tmp_path / "a.csv", rows=50)
+    with open(path, "a", newline="") as file:
+        file.write('r97,o,5,t,"a\r\nb",,\r\nr98,o,5,t,"c\r\nd",,\n')
+    assert write_records(spark, [path], list(REVIEWS.columns))[1].endswith("-apart")
+    rows = {r.review_id: r.review_comment_message for r in read_source(spark, REVIEWS, path, split_bytes=10).collect()}
+    assert len(rows) == 52 and rows["r97"] == "a\nb" and rows["r98"] == "c\r\nd"
+
+
+def ends_open(line, inside):
+    """The reader's rule, part by part."""
+    for part in line.split(","):
+        single = lambda text: '"' in text.replace('""', "")
+        inside = not single(part) if inside else part.startswith('"') and not single(part[1:])
+    return inside
+
+
+def test_quotes_of_a_line_turn_or_end_the_state(spark):
+    rng = random.Random(9)
+    lines = ["".join(rng.choices(['"', ",", "a", '""', "\x01"], k=rng.randint(0, 12))) for _ in range(800)]
+    found = spark.createDataFrame([(line,) for line in lines], "value string")
+    for row in found.select("value", csv_records.lines_open(F.col("value")).alias("after")).collect():
+        assert (row.after.closed, row.after.open) == (ends_open(row.value, False), ends_open(row.value, True))
