@@ -92,3 +92,25 @@ def test_warnings_do_not_fail_the_run(spark):
     report = quality.check_report({"m": frame}, [check])
     assert report.first().status == "warn"
     quality.enforce(report)
+
+
+def test_order_fact_is_written_once_without_a_shuffle_for_its_layout(spark, built, tmp_path, monkeypatch):
+    """The person history reads the order fact's version, which holds two columns more."""
+    from tradeloom.plans import marts
+    from tradeloom.sources.tables import version_frame
+
+    shown, version = spark.table("analytics.fct_orders"), version_frame(spark, "analytics", "fct_orders")
+    assert set(version.columns) - set(shown.columns) == set(marts.MARKS)
+    assert built.models["fct_orders"].columns == marts.fct_orders(version).columns
+    plan = built.models["int_customer_summary"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "order_repeats" in plan and "analytics_versions" in plan
+
+    planned = []
+
+    def keep(df, database, table, *args, **named):
+        planned.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return spark.table(f"{database}.{table}")
+
+    monkeypatch.setattr(build, "replace_table", keep)
+    build.build_warehouse(spark, shop.raw_frames(spark, {}), str(tmp_path), parallel=1)
+    assert len(planned) == 3 and not any("Rebalance" in plan for plan in planned)
