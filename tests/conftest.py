@@ -28,3 +28,15 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left(request):
+    """Views of one module show in every database, so they go with it."""
+    yield
+    from pyspark.sql import SparkSession
+
+    session = SparkSession.getActiveSession()
+    for table in session.catalog.listTables() if session else ():
+        if table.isTemporary:
+            session.catalog.dropTempView(table.name)
