@@ -132,3 +132,36 @@ def test_ids_the_vocabulary_has_not(spark):
     found = {r.n: r.decoded for r in bpe.decode(ids).collect()}
     assert found[2] is found[3] is found[4] is None
     assert len(found[1]) >= 2 and bytes(found[5]) == b""
+
+
+def test_a_batch_is_taken_a_portion_at_a_time(spark, library, monkeypatch):
+    """Texts of a batch are not Python values all at once; copies are encoded once."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe, "PORTION", 4)
+    seen = []
+    monkeypatch.setattr(bpe.Encoder, "__call__", spied(bpe.Encoder.__call__, seen))
+    made = {}
+    monkeypatch.setattr(bpe.F, "arrow_udf", lambda run, kind: made.setdefault(kind, run) and (lambda _: bpe.F.lit(None).cast(kind)))
+    docs = spark.createDataFrame([("x", [1])], "text string, ids array<int>")
+    bpe.encode(docs.select("text"))
+    bpe.decode(docs)
+    texts = [f"word {n % 11} é" for n in range(30)] + ["", "<|endoftext|>"]
+    parts = list(made["array<int>"](iter([pa.array(texts)])))
+    assert max(map(len, parts)) <= 4
+    ids = pa.concat_arrays(parts)
+    assert ids.to_pylist() == [library.encode_ordinary(t) for t in texts]
+    assert max(map(len, seen)) <= 4 and sum(map(len, seen)) == 13
+    decoded = list(made["binary"](iter([ids])))
+    assert max(map(len, decoded)) <= 4
+    assert [d.decode() for part in decoded for d in part.to_pylist()] == texts
+    (none,) = made["array<int>"](iter([pa.array([], pa.string())]))
+    assert none.to_pylist() == []
+
+
+def spied(call, seen):
+    def wrapped(self, texts):
+        seen.append(texts)
+        return call(self, texts)
+
+    return wrapped

@@ -26,7 +26,9 @@ PAD = -1
 #: Rank of a pair that does not merge.
 NEVER = np.iinfo(np.int32).max
 #: Characters cut into pieces at a time, and cells of a matrix.
-SLICE, CELLS = 1 << 20, 1 << 20
+SLICE, CELLS = 1 << 19, 1 << 19
+#: Rows of a batch taken as Python values at a time.
+PORTION = 256
 #: Pieces of more bytes are rows of their own.
 WIDE = 256
 #: Distinct pieces a task remembers before it starts anew.
@@ -281,8 +283,8 @@ def encode(docs: DataFrame, text_col: str = "text", name: str = NAME, folder: st
     An empty table gives an empty table.
 
     At scale: no shuffle, one pass over the texts. A task holds a batch, its
-    ids, and at most 200,000 distinct pieces. A text is cut a million characters
-    at a time; a piece of n bytes without a break, as of one letter repeated,
+    ids, and at most 200,000 distinct pieces. A text is cut half a million
+    characters at a time; a piece of n bytes without a break, as of one letter repeated,
     takes as many rounds over it as it has different ranks to merge.
     """
 
@@ -293,12 +295,13 @@ def encode(docs: DataFrame, text_col: str = "text", name: str = NAME, folder: st
         single_threaded()
         encoder = Encoder(Vocabulary(read_ranks(name, folder)), regex.compile(public_tokenizers.PATTERN))
         for batch in batches:
-            # Each different text of a batch is encoded once.
-            places: dict[str, int] = {}
-            own = [places.setdefault(text, len(places)) for text in batch.to_pylist()]
-            ids, sizes = encoder(list(places))
-            ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
-            yield pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32())).take(pa.array(own, pa.int32()))
+            # Each different text of a batch is encoded once, a few at a time.
+            texts = batch.dictionary_encode()
+            lists = pa.concat_arrays([ids_of(encoder, part) for part in portions(texts.dictionary)])
+            for rows in portions(texts.indices):
+                yield lists.take(rows)
+            del batch, texts, lists, rows
+            pa.default_memory_pool().release_unused()
 
     ids = F.arrow_udf(run, "array<int>")(text_of(text_col))
     return replaced(replaced(docs, ids=ids), n_tokens=F.size("ids").cast("bigint"))
@@ -315,11 +318,27 @@ def decode(docs: DataFrame, ids_col: str = "ids", name: str = NAME, folder: str
         single_threaded()
         tokens = {rank: token for token, rank in read_ranks(name, folder).items()}
         for batch in batches:
-            yield pa.array((joined(tokens, row) for row in batch), pa.binary())
+            for rows in portions(batch):
+                yield pa.array([joined(tokens, row) for row in rows], pa.binary())
+            del batch, rows
+            pa.default_memory_pool().release_unused()
 
     return replaced(docs, decoded=F.arrow_udf(run, "binary")(col(ids_col)))
 
 
+def portions(batch: pa.Array) -> Iterator[pa.Array]:
+    """A batch in portions of rows (one at least): as Python values texts and
+    ids take up several times their size."""
+    for low in range(0, max(len(batch), 1), PORTION):
+        yield batch.slice(low, PORTION)
+
+
+def ids_of(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    ids, sizes = encoder(texts.to_pylist())
+    ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32()))
+
+
 def joined(tokens: dict[int, bytes], row: pa.ListScalar) -> bytes | None:
     if not row.is_valid or row.values.null_count:
         return None
