@@ -114,3 +114,25 @@ def test_order_fact_is_written_once_without_a_shuffle_for_its_layout(spark, buil
     monkeypatch.setattr(build, "replace_table", keep)
     build.build_warehouse(spark, shop.raw_frames(spark, {}), str(tmp_path), parallel=1)
     assert len(planned) == 3 and not any("Rebalance" in plan for plan in planned)
+
+
+def test_customers_that_fit_a_lookup_move_no_orders(spark, tmp_path, monkeypatch):
+    """Orders of repeated and unknown customers give the same rows either way."""
+    customers = [*shop.ROWS["customers"], ("c1", "p9", "1", "Twice", "SP"), (None, "p10", "1", "None", "SP")]
+    orders = [*shop.ROWS["orders"], ("o10", None, *shop.ROWS["orders"][0][2:])]
+    frames = build.staging_models(shop.raw_frames(spark, {"customers": customers, "orders": orders}))
+    frames["stg_customers"].write.parquet(f"{tmp_path}/customers")
+    models = {**frames, "stg_customers": spark.read.parquet(f"{tmp_path}/customers")}
+    found = []
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (2**30, 0):
+            monkeypatch.setattr(build, "lookup_bytes", lambda _, most=most: most)
+            located = build.located_orders(models, build.enriched_orders(models))
+            text = located._jdf.queryExecution().executedPlan().toString()
+            assert ("Join [customer_id" in text, "hashpartitioning(customer_id" in text) == (True, most == 0)
+            found.append(sorted(map(str, located.collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found[0] == found[1] and len(found[0]) == len(orders) + 1

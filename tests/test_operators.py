@@ -10,7 +10,8 @@ from tradeloom.functions import labels
 from tradeloom.functions.measures import distinct_list, percent_of_rows, round_double
 from tradeloom.functions.timestamps import in_years, year_month
 from tradeloom.operators.latest import latest_by
-from tradeloom.operators.lookup import hot_keys, lookup_join, measured_bytes
+from tradeloom.operators import lookup
+from tradeloom.operators.lookup import hot_keys, lookup_join, measured_bytes, source_bytes
 from tradeloom.operators.ranking import share_of_total, to_long, top_k
 from tradeloom.operators.stage import stage_folder, staged
 from tradeloom.plans import build
@@ -51,6 +52,25 @@ def test_lookup_broadcasts_only_within_bound(spark):
     assert "ResolvedHint (strategy=broadcast)" not in large._jdf.queryExecution().analyzed().toString()
 
 
+def test_a_source_read_twice_counts_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS k", "id % 7 AS brand").write.parquet(f"{tmp_path}/part")
+    part = spark.read.parquet(f"{tmp_path}/part")
+    other = spark.range(1000).selectExpr("id AS k", "id % 5 AS brand")
+    other.write.parquet(f"{tmp_path}/other")
+    names = part.select("brand").distinct().selectExpr("brand", "brand + 1 AS name")
+    assert source_bytes(part.join(names, "brand", "left")) == source_bytes(part) > 0
+    both = part.join(spark.read.parquet(f"{tmp_path}/other").select("k"), "k", "left")
+    assert source_bytes(both) > source_bytes(part)
+
+
+def test_the_bound_of_a_lookup_goes_by_the_least_heap(spark, monkeypatch):
+    for heap, bound in ((10**9, lookup.LOOKUP_BYTES), (10 * 2**30, 2**30)):
+        monkeypatch.setattr(lookup, "least_heap", lambda _, heap=heap: heap)
+        assert lookup.lookup_bytes(spark) == bound
+    monkeypatch.undo()
+    assert 2**30 < lookup.least_heap(spark) <= 6 * 2**30
+
+
 def test_lookups_run_no_job_before_the_action(spark, tmp_path):
     """Nor does a lookup that is itself a join count as large."""
     shop.write_csvs(tmp_path)
