@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tradeloom.llm import queries, trie
@@ -169,3 +170,30 @@ def test_ids_come_in_runs(spark, monkeypatch):
     frame = spark.createDataFrame(rows, f"conv_id bigint, ends {trie.KEY}")
     found = {r.ends.a: r.ends_sha256 for r in trie.ends_digests(frame).collect()}
     assert found == {k: brute.sha256(",".join(str(i) for i in sorted(ids) if i % 3 == k)) for k in {i % 3 for i in ids}}
+
+
+def test_double_array_grows_with_its_rows():
+    """Children whose ids lie far apart take no more places for that."""
+    rng = np.random.default_rng(1)
+    rows, alphabet = 4000, 30_000
+    lead, size = np.repeat(np.arange(rows // 4), 4), np.full(rows, 4)
+    symbols = rng.integers(rows // 4, alphabet, size.sum())
+    built = trie.packed(lead, size, symbols, alphabet)
+    assert len(built.check) < 10 * (rows + len(symbols))
+    node = built.step(np.zeros(rows, np.int64), lead)
+    for depth in range(4):
+        other = built.step(node, (symbols[depth::4] + 1) % alphabet)
+        node = built.step(node, symbols[depth::4])
+        assert (node >= 0).all() and (other >= 0).mean() < 0.01
+    paths = {(lead[i], *symbols[4 * i : 4 * i + 4]) for i in range(rows)}
+    assert len(set(node.tolist())) == len(paths)
+
+
+def test_a_batch_is_taken_in_portions(monkeypatch):
+    monkeypatch.setattr(trie, "AT_ONCE", 10)
+    turns = [3, 0, 5, 40, 1, 2, 9, 10, 0, 0]
+    batch = pa.RecordBatch.from_pydict({"rest": [list(range(n)) for n in turns]})
+    parts = [part["rest"].to_pylist() for part in trie.portions(batch)]
+    assert [len(row) for part in parts for row in part] == turns
+    assert all(len(part) == 1 or sum(len(row) + 1 for row in part) <= 10 for part in parts)
+    assert len(parts) == 7

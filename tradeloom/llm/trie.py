@@ -6,7 +6,8 @@ count. Sequences are dealt to shards by a prefix, deeper where many share it,
 so each node at or below a shard's prefix lies in that shard alone. A task
 packs its shards into BASE and CHECK arrays over dense ids of their turns
 (child = BASE[node] + id, and CHECK[child] = node), walks all sequences through
-them, and sums up the nodes. The few nodes above the shards are shared; their
+them, and sums up the nodes. A large id is taken in digits, one step each, so
+that the arrays grow with the turns and not with the ids a node's children span. The few nodes above the shards are shared; their
 parts are merged by prefix over all shards.
 """
 
@@ -30,8 +31,10 @@ from tradeloom.operators.stage import staged
 MOST_TURNS = 200_000
 #: Turns packed into one double array, whole shards each.
 AT_ONCE = 200_000
-#: Free places tried for a node with several children.
-TRIES, AT_A_TIME = 256, 32
+#: Bits of an id that one step takes: children lie within 64 places.
+DIGIT = 6
+#: Places at the end in which a node with several children may find free ones.
+RECENT = 512
 #: Ids that are listed in one piece before their digest is taken.
 RUN_BITS = 16
 
@@ -86,67 +89,79 @@ def prefix_keys(batches: Batches[pa.Array]) -> Batches[pa.Array]:
 
 
 class DoubleArray:
-    """A trie over dense symbols; node 0 is the top."""
+    """A trie over dense symbols; node 0 is the top.
 
-    def __init__(self, size: int):
+    A symbol is a few digits, the highest first, and takes a step for each. A
+    node with several children puts them among the last places or behind them,
+    so it adds at most 64 places, however many symbols there are.
+    """
+
+    def __init__(self, size: int, alphabet: int):
         self.base, self.check = np.zeros(size, np.int64), np.full(size, FREE, np.int64)
         self.check[0], self.end = TOP, 1
+        self.shifts = range(0, max(1, int(alphabet - 1).bit_length()), DIGIT)[::-1]
+
+    def digits(self, symbol: np.ndarray) -> Iterator[np.ndarray]:
+        return ((symbol >> shift) & ((1 << DIGIT) - 1) for shift in self.shifts)
 
     def reserve(self, size: int) -> None:
         if size > len(self.check):
-            more = max(size, 2 * len(self.check)) - len(self.check)
+            more = max(size, len(self.check) * 3 // 2) - len(self.check)
             self.base = np.append(self.base, np.zeros(more, np.int64))
             self.check = np.append(self.check, np.full(more, FREE, np.int64))
 
     def insert(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """Add children to nodes that have none; the child of each pair."""
-        order = np.lexsort((symbol, node))
-        n, s = node[order], symbol[order]
+        for digit in self.digits(symbol):
+            node = self.insert_digit(node, digit)
+        return node
+
+    def insert_digit(self, node: np.ndarray, digit: np.ndarray) -> np.ndarray:
+        order = np.lexsort((digit, node))
+        n, s = node[order], digit[order]
         new = np.append(True, (n[1:] != n[:-1]) | (s[1:] != s[:-1]))
         n, s = n[new], s[new]
         first = np.flatnonzero(np.append(True, n[1:] != n[:-1]))
         count = np.diff(np.append(first, len(n)))
         several = np.flatnonzero(count > 1)
-        if len(several):
-            gaps = np.flatnonzero(self.check[: self.end] == FREE)
-            for k in several[np.argsort(-count[several], kind="stable")]:
-                symbols = s[first[k] : first[k] + count[k]]
-                self.put(n[first[k]], symbols, self.fit(symbols, gaps))
+        for k in several[np.argsort(-count[several], kind="stable")]:
+            digits = s[first[k] : first[k] + count[k]]
+            self.put(n[first[k]], digits, self.fit(digits))
         # A node with one child takes any place: those behind the last.
         one = first[count == 1]
         self.reserve(self.end + len(one))
         places = np.arange(self.end, self.end + len(one))
         self.base[n[one]], self.check[places] = places - s[one], n[one]
         self.end += len(one)
-        return self.base[node] + symbol
+        return self.base[node] + digit
 
-    def fit(self, symbols: np.ndarray, gaps: np.ndarray) -> int:
-        """A base that puts all symbols on free places: the first that fits of
-        some gaps, else behind the last place."""
-        span = symbols - symbols[0]
+    def fit(self, digits: np.ndarray) -> int:
+        """A base that puts all digits on free places: the first that fits among
+        the last places, else behind them."""
+        span = digits - digits[0]
         self.reserve(self.end + int(span[-1]) + 1)
-        for low in range(0, min(len(gaps), TRIES), AT_A_TIME):
-            at = gaps[low : low + AT_A_TIME]
-            fits = (self.check[at[:, None] + span] == FREE).all(axis=1)
-            if fits.any():
-                return int(at[fits.argmax()] - symbols[0])
-        return int(self.end - symbols[0])
+        low = max(0, self.end - RECENT)
+        at = low + np.flatnonzero(self.check[low : self.end] == FREE)
+        fits = (self.check[at[:, None] + span] == FREE).all(axis=1)
+        return int((at[fits.argmax()] if fits.any() else self.end) - digits[0])
 
-    def put(self, node: int, symbols: np.ndarray, base: int) -> None:
-        self.base[node], self.check[base + symbols] = base, node
-        self.end = max(self.end, base + int(symbols[-1]) + 1)
+    def put(self, node: int, digits: np.ndarray, base: int) -> None:
+        self.base[node], self.check[base + digits] = base, node
+        self.end = max(self.end, base + int(digits[-1]) + 1)
 
     def step(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """The child of each node by a symbol, or FREE."""
-        child = self.base[node] + symbol
-        inside = (child >= 0) & (child < len(self.check))
-        child = np.where(inside, child, 0)
-        return np.where(inside & (self.check[child] == node), child, FREE)
+        for digit in self.digits(symbol):
+            child = self.base[node] + digit
+            inside = (node >= 0) & (child >= 0) & (child < len(self.check))
+            child = np.where(inside, child, 0)
+            node = np.where(inside & (self.check[child] == node), child, FREE)
+        return node
 
 
 def packed(lead: np.ndarray, size: np.ndarray, symbols: np.ndarray, alphabet: int) -> DoubleArray:
     """The double array of rows of symbols: ``lead``, then ``size`` others."""
-    trie = DoubleArray(len(symbols) + len(lead) + alphabet + 1)
+    trie = DoubleArray(len(symbols) + len(lead) + 1, alphabet)
     first = np.cumsum(size) - size
     node = trie.insert(np.zeros(len(lead), np.int64), lead)
     for depth in range(int(size.max(initial=0))):
@@ -174,64 +189,82 @@ def shard_nodes(rows: pa.Table) -> pa.Table:
     bytes_of = np.append(rows["root_bytes"].to_numpy()[head], length[order[other]]).astype(np.int64)
     trie = packed(shard, size, symbols, len(bytes_of))
 
-    # Walk all sequences through the arrays.
-    n, conv = rows["n"].to_numpy(), rows["conv_id"].to_numpy()
-    places = trie.end
-    members, smallest = np.zeros(places, np.int64), np.full(places, np.iinfo(np.int64).max)
-    depth = np.zeros(places, np.int64)
-    node, first = np.zeros(len(shard), np.int64), np.cumsum(size) - size
+    # Walk all sequences through the arrays: the root of the shard, then a step
+    # for each turn. A sequence's steps lie one behind the other.
+    first = np.cumsum(size + 1) - size - 1
+    level = np.arange((size + 1).sum()) - np.repeat(first, size + 1)
+    symbol = np.empty(len(level), np.int64)
+    symbol[level == 0], symbol[level > 0] = shard, symbols
+    place, at = np.empty(len(level), np.int64), np.zeros(len(shard), np.int64)
     for d in range(int(size.max(initial=0)) + 1):
         on = np.flatnonzero(size >= d)
-        node[on] = trie.step(node[on], symbols[first[on] + d - 1] if d else shard[on])
-        np.add.at(members, node[on], n[on])
-        np.minimum.at(smallest, node[on], conv[on])
-        depth[node[on]] = d
-    nodes = np.flatnonzero(trie.check[:places] >= 0)
-    nodes = nodes[np.argsort(depth[nodes], kind="stable")]
-    parent = trie.check[nodes]
-    children = np.bincount(parent, minlength=places)
-    leaves = (children == 0).astype(np.int64)
-    saved = np.zeros(places, np.int64)
-    saved[nodes] = (members[nodes] - 1) * bytes_of[nodes - trie.base[parent]]
-    bounds = np.searchsorted(depth[nodes], np.arange(depth.max(initial=0) + 2))
+        place[first[on] + d] = at[on] = trie.step(at[on], symbol[first[on] + d])
+
+    # Nodes are numbered from the shards' roots down.
+    places, node = np.unique(place, return_inverse=True)
+    depth = np.empty(len(places), np.int64)
+    depth[node] = level
+    order = np.argsort(depth, kind="stable")
+    number = np.empty(len(places), np.int64)
+    number[order] = np.arange(len(places))
+    node, depth = number[node], depth[order]
+    inner = np.flatnonzero(level > 0)
+    parent = np.full(len(places), -1)
+    parent[node[inner]] = node[inner - 1]
+    members, smallest = np.zeros(len(places), np.int64), np.full(len(places), np.iinfo(np.int64).max)
+    np.add.at(members, node, np.repeat(rows["n"].to_numpy(), size + 1))
+    np.minimum.at(smallest, node, np.repeat(rows["conv_id"].to_numpy(), size + 1))
+    roots, is_root = len(head), depth == 0
+    children = np.bincount(parent[roots:], minlength=len(places))
+    leaves, saved = (children == 0).astype(np.int64), np.empty(len(places), np.int64)
+    saved[node] = bytes_of[symbol]
+    saved *= members - 1
+    bounds = np.searchsorted(depth, np.arange(depth.max(initial=0) + 2))
     for low, high in reversed(list(zip(bounds[1:-1], bounds[2:]))):
-        np.add.at(leaves, parent[low:high], leaves[nodes[low:high]])
-        np.add.at(saved, parent[low:high], saved[nodes[low:high]])
-
-    # The first nodes are the shards' roots.
-    roots, is_root = len(head), np.arange(len(nodes)) < len(head)
-    own = head[nodes[:roots] - trie.base[0]]
-    top = pa.array(np.append(own, np.zeros(len(nodes) - roots, np.int64)), mask=~is_root)
-    down = np.zeros(places, np.int64)
-    down[nodes[:roots]] = rows["depth"].to_numpy()[own]
+        np.add.at(leaves, parent[low:high], leaves[low:high])
+        np.add.at(saved, parent[low:high], saved[low:high])
+
+    own = np.zeros(len(places), np.int64)
+    own[node[first[head]]] = head
+    top = pa.array(own, mask=~is_root)
+    down = rows["depth"].to_numpy()[own].astype(np.int64)
     for low, high in zip(bounds[1:-1], bounds[2:]):
-        down[nodes[low:high]] = down[parent[low:high]] + 1
-    row = np.full(places, -1)
-    row[node] = np.arange(len(node))
-    ends = pa.array(row[nodes], mask=row[nodes] < 0)
+        down[low:high] = down[parent[low:high]] + 1
+    row = np.full(len(places), -1)
+    row[node[first + size]] = np.arange(len(size))
     return pa.table(
         {
-            "conv_id": smallest[nodes],
-            "depth": down[nodes],
+            "conv_id": smallest,
+            "depth": down,
             "parent_conv_id": pa.array(smallest[parent], mask=is_root),
-            "n_convs": members[nodes],
-            "n_children": children[nodes],
-            "n_leaves": leaves[nodes],
-            "saved": saved[nodes],
-            "ends": rows["ends"].combine_chunks().take(ends),
+            "n_convs": members,
+            "n_children": children,
+            "n_leaves": leaves,
+            "saved": saved,
+            "ends": rows["ends"].combine_chunks().take(pa.array(row, mask=row < 0)),
             "key": rows["shard"].combine_chunks().take(top),
             "above": rows["above"].combine_chunks().take(top),
         }
     )
 
 
+def portions(batch: pa.RecordBatch) -> Iterator[pa.Table]:
+    """Slices of at most ``AT_ONCE`` turns, or of one row."""
+    held = np.append(0, np.cumsum(pc.list_value_length(batch["rest"]).to_numpy(zero_copy_only=False) + 1))
+    low = 0
+    while low < len(batch):
+        high = max(low + 1, int(np.searchsorted(held, held[low] + AT_ONCE, "right")) - 1)
+        yield pa.Table.from_batches([batch.slice(low, high - low)])
+        low = high
+
+
 def pack_shards(batches: Batches[pa.RecordBatch]) -> Batches[pa.RecordBatch]:
     single_threaded()
     waiting: list[pa.Table] = []
     held = 0
-    for batch in batches:
-        waiting.append(pa.Table.from_batches([batch]))
-        held += len(batch) + int(pc.sum(pc.list_value_length(batch["rest"])).as_py() or 0)
+    for part in (part for batch in batches for part in portions(batch)):
+        waiting.append(part)
+        held += len(part) + int(pc.sum(pc.list_value_length(part["rest"])).as_py() or 0)
         if held >= AT_ONCE:
             rows = pa.concat_tables(waiting)
             last = rows["shard"][-1].as_py()
