@@ -1,5 +1,8 @@
 """CSV folder to checked marts."""
 
+import re
+import time
+
 import pytest
 
 import shop
@@ -136,3 +139,36 @@ def test_customers_that_fit_a_lookup_move_no_orders(spark, tmp_path, monkeypatch
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert found[0] == found[1] and len(found[0]) == len(orders) + 1
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.mkString("\n")))
+
+
+def test_a_build_leaves_no_shuffle_files(spark, tmp_path):
+    """They go when a write ends, not when the driver collects its garbage."""
+    from tradeloom.operators.stage import CLEANUP
+
+    raw = shop.raw_frames(spark, {})
+    written = raw["orders"].groupBy("order_id").count()
+    written.write.parquet(f"{tmp_path}/other")
+    before, set_before = shuffle_files(spark), spark.conf.get(CLEANUP)
+    assert before
+    build.build_warehouse(spark, raw, str(tmp_path))
+    until = time.time() + 20
+    while left := shuffle_files(spark) - before:
+        assert time.time() < until, left
+        time.sleep(0.2)
+    assert spark.conf.get(CLEANUP) == set_before
+
+
+@pytest.mark.parametrize("large, parallel", [(2**70, 2), (0, 1)])
+def test_large_sides_run_one_after_the_other(spark, tmp_path, monkeypatch, large, parallel):
+    seen = []
+    monkeypatch.setattr(build, "LARGE_BYTES", large, raising=False)
+    run = build.side_by_side
+    monkeypatch.setattr(build, "side_by_side", lambda job, names, n: seen.append(n) or run(job, names, n))
+    warehouse = build.build_warehouse(spark, shop.raw_frames(spark, {}), str(tmp_path))
+    assert seen == [parallel]
+    assert warehouse.models["fct_orders"].count() == len(shop.ROWS["orders"])
